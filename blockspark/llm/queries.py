@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blockspark.llm import secrets
+from blockspark.llm import secrets, simhash
 from blockspark.llm.common import table
 
 
@@ -14,9 +14,14 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_secret_scan": op5_secret_scan,
+        "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
 
 
