@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blockspark.llm import secrets, simhash
+from blockspark.llm import quality_classifier, secrets, simhash
 from blockspark.llm.common import table
 
 
@@ -14,6 +14,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.digest(quality_classifier.score(docs, forest))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
@@ -21,6 +27,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_secret_scan": op5_secret_scan,
+        "op6_quality_classifier": op6_quality_classifier,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
 
