@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blockspark.llm import quality_classifier, quality_rules, secrets, simhash
+from blockspark.llm import html_extract, quality_classifier, quality_rules, secrets, simhash
 from blockspark.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.digest(quality_classifier.score(docs, forest))
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.judge(table(spark, sf_dir, "documents")))
 
@@ -32,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_secret_scan": op5_secret_scan,
         "op6_quality_classifier": op6_quality_classifier,
+        "op7_html_extract": op7_html_extract,
         "op8_quality_rules": op8_quality_rules,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
