@@ -158,7 +158,9 @@ def blocks(html: str | None) -> list[tuple[str, int, int, int, int, int]]:
                         bad, article, header = bad - b, article - a, header - h
                         if name == tag:
                             break
-    add(html[past:])
+    # a script or comment that never ends hides the rest
+    unfinished = re.search(rf"<(?:!--|(?:{_HIDDEN})\b)", html[past:], re.IGNORECASE)
+    add(html[past : past + unfinished.start()] if unfinished else html[past:])
     flush()
     return found
 

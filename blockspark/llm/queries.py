@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blockspark.llm import html_extract, quality_classifier, quality_rules, secrets, simhash
+from blockspark.llm import html_extract, quality_classifier, quality_rules, secrets, simhash, toxicity
 from blockspark.llm.common import table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.digest(toxicity.score(docs, model))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -34,6 +40,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity": op2_toxicity,
         "op5_secret_scan": op5_secret_scan,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_html_extract": op7_html_extract,
