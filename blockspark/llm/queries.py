@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blockspark.llm import html_extract, quality_classifier, quality_rules, secrets, simhash, toxicity
+from blockspark.llm import decontamination, html_extract, quality_classifier, quality_rules, secrets, simhash, toxicity
 from blockspark.llm.common import table
 
 
+def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -40,6 +44,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_benchmark_leaks": op1_benchmark_leaks,
         "op2_toxicity": op2_toxicity,
         "op5_secret_scan": op5_secret_scan,
         "op6_quality_classifier": op6_quality_classifier,
