@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blockspark.llm import decontamination, html_extract, quality_classifier, quality_rules, secrets, simhash, toxicity
+from blockspark.llm import decontamination, html_extract, quality_classifier, quality_rules, secrets, simhash, token_shards, toxicity
 from blockspark.llm.common import table
+from blockspark.session import shared_dir
 
 
 def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +44,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark).rstrip('/')}/token-shards-{uuid.uuid4().hex}"
+    return token_shards.write_shards(table(spark, sf_dir, "documents"), folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_benchmark_leaks": op1_benchmark_leaks,
@@ -51,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_html_extract": op7_html_extract,
         "op8_quality_rules": op8_quality_rules,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
+        "op10_token_shards": op10_token_shards,
     }
 
 
