@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blockspark.llm import decontamination, html_extract, pieces, quality_classifier, quality_rules, secrets, simhash, token_shards, toxicity
+from blockspark.llm import decontamination, html_extract, pieces, quality_classifier, quality_rules, secrets, simhash, suffix_dedup, token_shards, toxicity
 from blockspark.llm.common import table
 from blockspark.session import shared_dir
 
@@ -22,6 +22,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(toxicity.score(docs, model))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")))
+
+
 def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_benchmark_leaks": op1_benchmark_leaks,
         "op2_toxicity": op2_toxicity,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_piece_encoding": op4_piece_encoding,
         "op5_secret_scan": op5_secret_scan,
         "op6_quality_classifier": op6_quality_classifier,
