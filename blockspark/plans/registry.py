@@ -5,17 +5,344 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from blockspark.config import ChunkingConfig
+from blockspark.functions import markdown as M
+from blockspark.functions import text as T
+from blockspark.operators import cache, chunk, codescan, dedup, eda, evaluate, ocr, pages, parse, render, translate
+from blockspark.plans import fixtures as X
+from blockspark.plans import sql as S
 
 Query = Callable[[SparkSession, str], DataFrame]
+SMALL = ChunkingConfig(chunk_size=120, overlap_tokens=30, min_chunk_size=20, max_chunk_size=200)
+FLAGSHIP = "/root/testdata/sf0.001"
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _flat(chunks: DataFrame) -> DataFrame:
+    return chunks.drop("translation", "embedding").withColumn("block_ids", F.array_join("block_ids", ",")).withColumn("anchors", F.array_join("anchors", ","))
+
+
+@query(S.chunks(ChunkingConfig()))
+def chunk_documents(spark, sf):
+    return _flat(chunk.chunk_blocks(X.blocks(spark, sf)))
+
+
+@query(S.chunks(SMALL))
+def chunk_documents_small(spark, sf):
+    return _flat(chunk.chunk_blocks(X.blocks(spark, sf), SMALL))
+
+
+@query(S.LEGACY)
+def legacy_chunks(spark, sf):
+    return chunk.legacy_chunks(X.conversations_as_markdown(spark, sf), chunk_size=120, heading_min=20, table_min=40)
+
+
+@query(f"SELECT doc_id, {S.tokens('text')} AS tokens, {S.words('text')} AS words, length(text)::INTEGER AS chars FROM ({S.DOCS})")
+def token_estimate(spark, sf):
+    return X.documents(spark, sf).select("doc_id", T.tokens("text").alias("tokens"), T.words("text").alias("words"), F.length("text").alias("chars"))
+
+
+_SAMPLES = ((-1, "가나다abc"), (-2, "12 34"), (-3, ""), (-4, "漢字漢字 ab"), (-5, "ᄀᄁ"), (-6, "éèê"))
+_PAIR = f"CASE WHEN {S.count('text', '[a-zA-Z가-힯]')} > 0 AND {S.count('text', '[가-힯ᄀ-ᇿ]')} > {S.count('text', '[a-zA-Z가-힯]')} * 0.3::DOUBLE THEN 'ko' ELSE 'en' END"
+
+
+@query(f"SELECT doc_id, {S.language('text')} AS language, {_PAIR} AS pair FROM (SELECT doc_id, text FROM ({S.DOCS}) UNION ALL SELECT * FROM (VALUES {', '.join(repr(s) for s in _SAMPLES)}))")
+def lang_detect(spark, sf):
+    rows = X.documents(spark, sf).select("doc_id", "text").unionByName(spark.createDataFrame(_SAMPLES, "doc_id long, text string"))
+    return rows.select("doc_id", T.language("text").alias("language"), T.language_pair("text").alias("pair"))
+
+
+@query(f"SELECT hash, min(doc_id) AS first_id, count(*) AS copies FROM ({S.TEXT_HASH}) GROUP BY hash HAVING count(*) > 1")
+def text_hash_dups(spark, sf):
+    rows = X.documents(spark, sf).select(T.text_hash("text").alias("hash"), F.col("doc_id").alias("seq"))
+    return dedup.first_wins(rows).filter("copies > 1").select("hash", F.col("seq").alias("first_id"), "copies")
+
+
+@query(f"SELECT {S.URL_HASH} AS hash, min(page_id) AS page_id, count(*) AS urls FROM (SELECT page_id, url FROM pages UNION ALL SELECT page_id, upper(url) FROM pages UNION ALL SELECT page_id, url || '/' FROM pages UNION ALL SELECT page_id, url || '?v=1' FROM pages) GROUP BY 1")
+def url_dups(spark, sf):
+    page = X.table(spark, sf, "pages").select("page_id", F.explode(F.array("url", F.upper("url"), F.concat("url", F.lit("/")), F.concat("url", F.lit("?v=1")))).alias("url"))
+    return page.groupBy(T.url_hash("url").alias("hash")).agg(F.min("page_id").alias("page_id"), F.count("*").alias("urls"))
+
+
+_CASED = "[\\p{Lu}\\p{Ll}\\p{Lt}]"
+_LEVEL = (
+    f"CASE WHEN t = '' OR {S.words('t')} >= 10 THEN NULL WHEN regexp_matches(t, '^(?i:chapter|section) \\d+') THEN 1 WHEN regexp_matches(t, '\\p{{Lu}}') AND NOT regexp_matches(t, '[\\p{{Ll}}\\p{{Lt}}]') AND length(t) > 4 THEN 2 "
+    f"WHEN regexp_matches(t, '[\\p{{Lu}}\\p{{Lt}}]') AND NOT regexp_matches(t, '(^|[^\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}])\\p{{Ll}}') AND NOT regexp_matches(t, '{_CASED}[\\p{{Lu}}\\p{{Lt}}]') THEN 3 END::INTEGER"
+)
+
+
+@query(f"SELECT doc_id, i::INTEGER AS i, level FROM (SELECT doc_id, i, {_LEVEL} AS level FROM (SELECT doc_id, i, {S.strip('line')} AS t FROM ({S.LINES}))) WHERE level IS NOT NULL")
+def heading_level(spark, sf):
+    lines = X.documents(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    return lines.select("doc_id", "i", T.heading_level("line").alias("level")).filter("level IS NOT NULL")
+
+
+@query(f"SELECT doc_id, i::INTEGER AS pos, {S.anchor('page', 'type', 'ro')} AS anchor, substr(sha256(text), 1, 12) AS hash, CASE WHEN length(text) > 100 THEN left(text, 100) || '...' ELSE text END AS preview FROM ({S.BLOCKS})")
+def anchors(spark, sf):
+    return X.blocks(spark, sf).select("doc_id", "pos", "anchor", T.content_hash("text").alias("hash"), T.preview("text").alias("preview"))
+
+
+@query(f"SELECT kind, hash, first(path ORDER BY seq) AS path, min(seq) AS seq FROM ({S.REGISTRY}) GROUP BY kind, hash")
+def dedup_first_wins(spark, sf):
+    return dedup.registered(X.registry(spark, sf), keep="first").select("kind", "hash", "path", "seq")
+
+
+@query(f"SELECT kind, hash, last(path ORDER BY seq) AS path, max(seq) AS seq FROM ({S.REGISTRY}) GROUP BY kind, hash")
+def dedup_last_wins(spark, sf):
+    return dedup.listing(X.registry(spark, sf)).select("kind", "hash", "path", "seq")
+
+
+@query(f"WITH r AS ({S.REGISTRY}) SELECT kind, hash, path, seq FROM r WHERE seq % 2 = 1 AND (kind, hash) NOT IN (SELECT (kind, hash) FROM r WHERE seq % 2 = 0)")
+def dedup_anti(spark, sf):
+    rows = X.registry(spark, sf)
+    return dedup.fresh(rows.filter("seq % 2 = 1"), rows.filter("seq % 2 = 0")).select("kind", "hash", "path", "seq")
+
+
+@query(f"WITH r AS ({S.REGISTRY}) SELECT c.kind, c.hash, c.seq, o.path AS original_path, o.date AS original_date FROM r c JOIN (SELECT kind, hash, last(path ORDER BY seq) AS path, last(date ORDER BY seq) AS date FROM r WHERE seq % 2 = 0 GROUP BY kind, hash) o USING (kind, hash) WHERE c.seq % 2 = 1")
+def dedup_matches(spark, sf):
+    rows = X.registry(spark, sf)
+    return dedup.duplicates(rows.filter("seq % 2 = 1").select("kind", "hash", "seq"), rows.filter("seq % 2 = 0")).select("kind", "hash", "seq", "original_path", "original_date")
+
+
+@query(f"SELECT k.kind, count(DISTINCT hash) AS total FROM (VALUES ('pdfs'), ('images'), ('urls'), ('texts')) k(kind) LEFT JOIN ({S.REGISTRY}) r USING (kind) GROUP BY k.kind")
+def registry_stats(spark, sf):
+    return dedup.stats(X.registry(spark, sf))
+
+
+@query(f"SELECT doc_id, page::INTEGER AS page, i::INTEGER AS pos, block_id, type, text, markdown, lang, confidence, {S.anchor('page', 'type', 'i')} AS anchor FROM ({S.MODEL_BLOCKS})")
+def parse_elements(spark, sf):
+    return X.model_blocks(spark, sf).select("doc_id", "page", "pos", "block_id", "type", "text", "markdown", "lang", "confidence", "anchor")
+
+
+_SHUFFLED = f"SELECT doc_id, i, i // 20 + 1 AS page, CASE WHEN i % 11 <> 0 THEN i * 7 % 20 * 60 END AS ro, i % 5 = 0 AS visual FROM ({S.LINES})"
+
+
+@query(f"SELECT doc_id, i::INTEGER AS i, (row_number() OVER (PARTITION BY doc_id ORDER BY page, coalesce(ro, 999), visual, i) - 1)::INTEGER AS pos FROM ({_SHUFFLED})")
+def block_order(spark, sf):
+    rows = X.documents(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    rows = rows.select("doc_id", "i", F.col("i").alias("pos"), (F.floor(F.col("i") / 20) + 1).alias("page"), F.when(F.col("i") % 11 != 0, F.col("i") * 7 % 20 * 60).alias("reading_order"), F.when(F.col("i") % 5 == 0, "figure").otherwise("text").alias("type"))
+    return parse.ordered(rows).select("doc_id", "i", "pos")
+
+
+@query(S.TITLES)
+def doc_title(spark, sf):
+    return parse.doc_titles(X.paged_blocks(spark, sf))
+
+
+@query(f"SELECT doc_id, (pages + 1)::INTEGER AS page, 'p' || (pages + 1) || '_b0' AS block_id, 'read ' || doc_id AS text, 'en' AS lang, 0.5::DOUBLE AS confidence FROM (SELECT doc_id, max(page) AS pages FROM ({S.PAGED}) GROUP BY doc_id)")
+def fallback_pages(spark, sf):
+    blocks = X.paged_blocks(spark, sf)
+    last = blocks.groupBy("doc_id").agg(F.max("page").alias("n"))
+    every = last.select("doc_id", F.explode(F.sequence(F.lit(1), F.col("n") + 1)).alias("page_num"), F.lit(600.0).alias("width"), F.lit(800.0).alias("height"))
+    read = every.select("doc_id", F.col("page_num").alias("page"), F.concat(F.lit("read "), "doc_id").alias("text"), F.lit(0.5).alias("confidence"))
+    return parse.fallback_blocks(every, blocks, read).select("doc_id", "page", "block_id", "text", "lang", "confidence")
+
+
+def _headers(spark, sf):
+    blocks = X.paged_blocks(spark, sf)
+    docs = blocks.groupBy("doc_id").agg(F.max("page").alias("total_pages")).join(parse.doc_titles(blocks), "doc_id", "left")
+    return blocks, docs.withColumn("created_at", F.lit("2024-01-01")).withColumn("parser_version", F.lit("2.0.0"))
+
+
+@query(S.RENDERED)
+def render_markdown(spark, sf):
+    return render.writer_markdown(*_headers(spark, sf))
+
+
+@query(
+    f"SELECT b.doc_id, coalesce('# ' || nullif(any_value(t.title), '') || {S.NL} || {S.NL}, '') || coalesce(string_agg(CASE WHEN markdown <> '' THEN markdown ELSE text END || ' ' || {S.anchor('page', 'type', 'ro')} || {S.NL} || {S.NL}, '' ORDER BY i), '') || "
+    f"'---' || {S.NL} || {S.NL} || '## Document Metadata' || {S.NL} || {S.NL} || '- **Document ID**: ' || b.doc_id || {S.NL} || '- **Pages**: ' || max(page) || {S.NL} || '- **Processed**: 2024-01-01' || {S.NL} || '- **Parser Version**: 2.0.0' AS markdown FROM ({S.PAGED}) b LEFT JOIN ({S.TITLES}) t USING (doc_id) GROUP BY b.doc_id"
+)
+def export_markdown(spark, sf):
+    blocks, docs = _headers(spark, sf)
+    return render.export_markdown(blocks.withColumn("anchor", T.anchor()), docs, with_anchors=True)
+
+
+@query(f"SELECT doc_id, count(*) AS total_blocks, sum(length(text))::BIGINT AS total_text_chars, coalesce(round(avg(confidence) FILTER (confidence > 0), 4), 0)::DOUBLE AS avg_confidence FROM ({S.MODEL_BLOCKS}) GROUP BY doc_id")
+def doc_metadata(spark, sf):
+    return render.metadata(X.model_blocks(spark, sf))
+
+
+@query(f"SELECT doc_id, type, count(*) AS blocks FROM ({S.MODEL_BLOCKS}) GROUP BY doc_id, type")
+def block_type_hist(spark, sf):
+    return render.type_histogram(X.model_blocks(spark, sf))
+
+
+@query(f"SELECT r_regionkey::BIGINT AS id, '| ' || r_name || ' |  |' || {S.NL} || '|---|---|' || coalesce(string_agg({S.NL} || '| ' || n_name || ' | ' || CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey::VARCHAR ELSE '' END || ' |', '' ORDER BY n_nationkey), '') AS markdown FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey, r_name")
+def html_table_md(spark, sf):
+    nation = X.table(spark, sf, "nation")
+    row = F.concat(F.lit("<tr><td class=a> <b>"), "n_name", F.lit("</b></td>"), F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("<TD>"), F.col("n_nationkey").cast("string"), F.lit("</TD><td>cut</td>"))).otherwise(""), F.lit("</tr><tr></tr>"))
+    rows = nation.groupBy(F.col("n_regionkey").alias("k")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("r")))), lambda x: x["r"]), "").alias("rows"))
+    region = X.table(spark, sf, "region").join(rows, F.col("r_regionkey") == F.col("k"), "left")
+    html = F.concat(F.lit("<p>x</p><table border=1><tr><th colspan=\"2\">"), "r_name", F.lit("</th></tr>"), F.coalesce("rows", F.lit("")), F.lit("</table>"))
+    return region.select(F.col("r_regionkey").cast("long").alias("id"), M.html_table(html).alias("markdown"))
+
+
+@query(S.MARKDOWN_BLOCKS)
+def markdown_blocks(spark, sf):
+    return parse.markdown_blocks(X.conversations_as_markdown(spark, sf).withColumn("page", F.lit(1))).select("doc_id", "page", "reading_order", "type", "text", "markdown")
+
+
+@query(f"SELECT doc_id, part::BIGINT AS part, special, content, para_idx::BIGINT AS para_idx FROM ({S.PARAGRAPHS})")
+def paragraphs(spark, sf):
+    return translate.paragraphs(X.conversations_as_markdown(spark, sf)).select("doc_id", "part", "special", "content", "para_idx")
+
+
+def _translated(spark, sf):
+    parts = translate.paragraphs(X.conversations_as_markdown(spark, sf))
+    said = parts.filter("para_idx % 3 <> 0").select("doc_id", "para_idx", F.concat(F.lit("T"), F.col("para_idx").cast("string"), F.lit(" "), F.left("content", F.lit(20))).alias("translation"))
+    return parts, said
+
+
+@query(f"SELECT doc_id, string_agg(CASE WHEN para_idx IS NULL THEN content ELSE content || {S.NL} || {S.NL} || coalesce('> *' || translation || '*', '> *(translation unavailable)*') || {S.NL} END, {S.NL} ORDER BY part) AS markdown FROM ({S.TRANSLATED}) GROUP BY doc_id")
+def bilingual(spark, sf):
+    return translate.bilingual(*_translated(spark, sf))
+
+
+@query(f"SELECT doc_id, string_agg(coalesce(translation, content), {S.NL} ORDER BY part) AS markdown FROM ({S.TRANSLATED}) GROUP BY doc_id")
+def monolingual(spark, sf):
+    return translate.monolingual(*_translated(spark, sf))
+
+
+@query(S.BOUNDARIES)
+def page_boundaries(spark, sf):
+    return pages.boundaries(X.conversations_as_pages(spark, sf))
+
+
+@query(S.MERGED)
+def page_merge(spark, sf):
+    docs = X.conversations_as_pages(spark, sf)
+    asked = pages.boundaries(docs).select("doc_id", "boundary")
+    answers = asked.withColumn("output", F.when(F.col("boundary") % 3 == 0, F.concat(F.lit(" merged "), F.col("boundary").cast("string"))).when(F.col("boundary") % 3 == 1, pages.SENTINEL))
+    return pages.merge(docs, answers)
+
+
+@query(f"SELECT doc_id, length(regexp_replace(markdown, '!\\[[^\\]]*\\]\\([^)]+\\)', chr(1), 'g')) - length(regexp_replace(replace(markdown, chr(1), ''), '!\\[[^\\]]*\\]\\([^)]+\\)', '', 'g')) AS images FROM ({S.MARKDOWN})")
+def image_counts(spark, sf):
+    return X.conversations_as_markdown(spark, sf).select("doc_id", M.image_links("markdown").cast("long").alias("images"))
+
+
+@query(S.missing("orders", {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}))
+def eda_missing(spark, sf):
+    return eda.missing(X.table(spark, sf, "orders"))
+
+
+@query(S.describe())
+def eda_numeric(spark, sf):
+    return eda.describe(X.table(spark, sf, "lineitem")).withColumn("mean", F.round("mean", 4)).withColumn("std", F.round("std", 4))
+
+
+@query(S.categorical("orders", ("o_orderstatus", "o_orderpriority")) + " UNION ALL " + S.categorical("customer", ("c_name", "c_mktsegment")))
+def eda_categorical(spark, sf):
+    return eda.categorical(X.table(spark, sf, "orders")).unionByName(eda.categorical(X.table(spark, sf, "customer")))
+
+
+@query(S.outliers())
+def eda_outliers(spark, sf):
+    return eda.outliers(X.table(spark, sf, "lineitem")).withColumn("lower", F.round("lower", 4)).withColumn("upper", F.round("upper", 4))
+
+
+@query(S.correlations())
+def eda_corr(spark, sf):
+    return eda.correlations(X.table(spark, sf, "lineitem")).withColumn("r", F.round("r", 6))
+
+
+@query(S.correlations(0.7))
+def eda_high_corr(spark, sf):
+    return eda.high_correlations(X.table(spark, sf, "lineitem")).withColumn("r", F.round("r", 6))
+
+
+@query(f"SELECT region, line_no, nth FROM ({S.sorted_lines()})")
+def ocr_sort(spark, sf):
+    return ocr.reading_order(X.boxes(spark, sf), ["region"]).select("region", "line_no", "nth")
+
+
+@query("SELECT l_suppkey AS region, round(avg(l_discount), 6) AS confidence, (2 * count(*) - 1)::INTEGER AS chars FROM lineitem GROUP BY l_suppkey")
+def ocr_confidence(spark, sf):
+    return ocr.regions(X.boxes(spark, sf), ["region"], "line_no").select("region", F.round("confidence", 6).alias("confidence"), F.length("text").alias("chars"))
+
+
+@query(f"SELECT region, line_no, x - 5 + 7 AS x1, lo + 11 AS y1, x + 5 + 7 AS x3, hi + 11 AS y3, true AS absolute FROM ({S.LINE_BOXES})")
+def coords_to_page(spark, sf):
+    rows = ocr.to_page(X.boxes(spark, sf), F.lit(7.0), F.lit(11.0))
+    point = lambda i, k: F.get(F.get("box", F.lit(i)), F.lit(k))
+    return rows.select("region", "line_no", point(0, 0).alias("x1"), point(0, 1).alias("y1"), point(2, 0).alias("x3"), point(2, 1).alias("y3"), F.col("box_page_absolute").alias("absolute"))
+
+
+@query("SELECT conv_id::VARCHAR AS image_hash, last(text ORDER BY turn, role) AS caption, max(turn) AS created_at FROM conversations GROUP BY conv_id")
+def cache_latest(spark, sf):
+    rows = X.table(spark, sf, "conversations").select(F.col("conv_id").cast("string").alias("image_hash"), F.col("text").alias("caption"), F.col("turn").alias("created_at"), "role")
+    return cache.latest(rows, ["image_hash"], F.struct("created_at", "role")).select("image_hash", "caption", "created_at")
+
+
+@query("WITH w AS (SELECT conv_id, max(turn) AS t FROM conversations WHERE turn % 3 = 0 GROUP BY conv_id), h AS (SELECT w.conv_id, count(c.turn) AS n FROM w LEFT JOIN conversations c ON c.conv_id = w.conv_id AND c.turn >= w.t GROUP BY w.conv_id) SELECT count(*) AS entries, coalesce(sum(n), 0)::BIGINT AS hits FROM h")
+def cache_stats(spark, sf):
+    rows = X.table(spark, sf, "conversations").select("conv_id", "turn")
+    writes = rows.filter("turn % 3 = 0")
+    return cache.stats(writes.select("conv_id").distinct(), cache.hits(writes, rows, ["conv_id"], "turn"))
+
+
+@query("SELECT conv_id, turn, coalesce(c.turn % 3 = 0, false) AS hit FROM conversations c")
+def cache_probe(spark, sf):
+    rows = X.table(spark, sf, "conversations").select("conv_id", "turn")
+    held = rows.filter("turn % 3 = 0").withColumn("created_at", F.col("turn"))
+    return cache.probe(rows, held, ["conv_id", "turn"], F.col("created_at")).select("conv_id", "turn", "hit")
+
+
+@query("SELECT user_id AS id, last(event_type ORDER BY event_id) AS status, last(props ORDER BY event_id) AS path, min(event_id) AS added, max(event_id) AS updated FROM events GROUP BY user_id")
+def queue_latest(spark, sf):
+    rows = X.table(spark, sf, "events").select(F.col("user_id").alias("id"), F.col("props").alias("path"), F.col("event_type").alias("status"), F.col("event_id").alias("ts"), F.col("event_id").alias("seq"))
+    return cache.queue(rows).select("id", "status", "path", "added", "updated")
+
+
+@query(S.findings())
+def security_scan(spark, sf):
+    return codescan.findings(X.code_files(spark, sf))
+
+
+@query()
+def code_metrics(spark, sf):
+    return codescan.metrics(X.code_files(spark, sf)).drop("long_functions")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (quality = toxic) AS correct, count(*) FILTER (quality = toxic) / count(*)::DOUBLE AS accuracy FROM labels")
+def qa_accuracy(spark, sf):
+    return evaluate.accuracy(X.table(spark, sf, "labels"), "quality", "toxic")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (event_type = 'view') AS succeeded, count(*) FILTER (event_type = 'error') AS failed, round(sum(value), 2) AS seconds FROM events")
+def run_summary(spark, sf):
+    rows = X.table(spark, sf, "events").select(F.when(F.col("event_type") == "view", "success").when(F.col("event_type") == "error", "error").alias("status"), F.col("value").alias("elapsed"))
+    return evaluate.run_summary(rows).withColumn("seconds", F.round("seconds", 2))
+
+
+@query(
+    f"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[^\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Pc}}\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS clean FROM ({S.DOCS})"
+)
+def clean_text(spark, sf):
+    return X.documents(spark, sf).select("doc_id", T.comparable("text").alias("clean"))
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    return spark.range(0)
+    return chunk_documents(spark, FLAGSHIP)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
