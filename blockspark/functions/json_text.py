@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from blockspark.functions.text import col
 
 
+def parses(c: Column) -> Column:
+    """Whether the whole text is one JSON value; the parser alone stops after the first."""
+    held = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    return held.isNotNull() & F.try_variant_get(held, "$[0]", "variant").isNotNull() & F.try_variant_get(held, "$[1]", "variant").isNull()
+
+
 def _valid(c: Column) -> Column:
-    return F.when(F.try_parse_json(c).isNotNull(), c)
+    return F.when(parses(c), c)
 
 
 def elements_json(c: Column | str) -> Column:
@@ -21,7 +27,7 @@ def elements_json(c: Column | str) -> Column:
     text = F.coalesce(col(c), F.lit(""))
     greedy = _valid(F.nullif(F.regexp_extract(text, r'(?s)\{.*"page_elements".*\}', 0), F.lit("")))
     whole = F.when(F.json_object_keys(greedy).isNotNull() & F.array_contains(F.json_object_keys(greedy), "page_elements"), greedy)
-    return F.coalesce(whole, F.get(F.filter(balanced(text), lambda x: F.try_parse_json(x).isNotNull()), F.lit(0)), F.lit(""))
+    return F.coalesce(whole, F.get(F.filter(balanced(text), parses), F.lit(0)), F.lit(""))
 
 
 def balanced(text: Column) -> Column:

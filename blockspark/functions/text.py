@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,8 +65,6 @@ def bpe_tokens(c: Column | str, ranks: str | None = None) -> Column:
     """
     if ranks is None:
         return tokens(c)
-    import pandas as pd
-
     @F.pandas_udf("int")
     def counted(texts: pd.Series) -> pd.Series:
         import base64
@@ -165,8 +164,6 @@ def comparable(c: Column | str) -> Column:
 
 def similarity(a: Column | str, b: Column | str) -> Column:
     """struct(ratio, longest): difflib's ratio of two texts and the length of their longest common substring."""
-    import pandas as pd
-
     @F.pandas_udf("ratio double, longest int")
     def compared(left: pd.Series, right: pd.Series) -> pd.DataFrame:
         import difflib

@@ -19,11 +19,11 @@ def dict_lines(results: DataFrame) -> DataFrame:
     score is 0, a missing box four zero points.
     """
     keys = [c for c in results.columns if c not in ("rec_texts", "rec_scores", "boxes")]
-    boxes = F.coalesce("boxes", F.array().cast("array<array<array<double>>>"))
-    n = F.when(F.size(boxes) > 0, F.least(F.size("rec_texts"), F.size(boxes))).otherwise(F.size("rec_texts"))
+    rows = results.withColumn("boxes", F.coalesce("boxes", F.array().cast("array<array<array<double>>>")))
+    n = F.when(F.size("boxes") > 0, F.least(F.size("rec_texts"), F.size("boxes"))).otherwise(F.size("rec_texts"))
     zero = F.array_repeat(F.array(F.lit(0.0), F.lit(0.0)), 4)
-    rows = results.select(*keys, "rec_texts", "rec_scores", boxes.alias("boxes"), F.explode(F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n)).alias("line_no"))
-    return rows.select(*keys, "line_no", F.get("rec_texts", "line_no").alias("text"), F.coalesce(F.get("rec_scores", F.col("line_no")), F.lit(0.0)).alias("confidence"), F.coalesce(F.get("boxes", F.col("line_no")), zero).alias("box"))
+    rows = rows.withColumn("line_no", F.explode(F.filter(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i < n)))
+    return rows.select(*keys, "line_no", F.get("rec_texts", F.col("line_no")).alias("text"), F.coalesce(F.get("rec_scores", F.col("line_no")), F.lit(0.0)).alias("confidence"), F.coalesce(F.get("boxes", F.col("line_no")), zero).alias("box"))
 
 
 def list_lines(results: DataFrame) -> DataFrame:
