@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from blockspark.functions.text import col
+from blockspark.functions.text import bind, col
 
 
 def parses(c: Column) -> Column:
     """Whether the whole text is one JSON value; the parser alone stops after the first."""
-    held = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
-    return held.isNotNull() & F.try_variant_get(held, "$[0]", "variant").isNotNull() & F.try_variant_get(held, "$[1]", "variant").isNull()
+    only = lambda h: h.isNotNull() & F.try_variant_get(h, "$[0]", "variant").isNotNull() & F.try_variant_get(h, "$[1]", "variant").isNull()
+    return bind(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), only)
 
 
 def _valid(c: Column) -> Column:
-    return F.when(parses(c), c)
+    return bind(c, lambda x: F.when(parses(x), x))
 
 
 def elements_json(c: Column | str) -> Column:
@@ -25,8 +25,8 @@ def elements_json(c: Column | str) -> Column:
     closing braces.
     """
     text = F.coalesce(col(c), F.lit(""))
-    greedy = _valid(F.nullif(F.regexp_extract(text, r'(?s)\{.*"page_elements".*\}', 0), F.lit("")))
-    whole = F.when(F.json_object_keys(greedy).isNotNull() & F.array_contains(F.json_object_keys(greedy), "page_elements"), greedy)
+    span = F.nullif(F.regexp_extract(text, r'(?s)\{.*"page_elements".*\}', 0), F.lit(""))
+    whole = bind(span, lambda x: F.when(parses(x) & F.array_contains(F.json_object_keys(x), "page_elements"), x))
     return F.coalesce(whole, F.get(F.filter(balanced(text), parses), F.lit(0)), F.lit(""))
 
 
@@ -53,8 +53,8 @@ def balanced(text: Column) -> Column:
 def loose_json(c: Column | str) -> Column:
     """A response's JSON: as it is, from a fenced block, or an object nested once at most; null if none parses."""
     text = col(c)
-    fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)
-    nested = F.regexp_extract(text, r"(?s)\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}", 0)
+    fenced = F.regexp_extract(text, r"(?s)`{3}(?:json|)[\s]*([{].*?[}])[\s]*`{3}", 1)
+    nested = F.regexp_extract(text, r"(?s)[{][^{}]*(?:[{][^{}]*[}][^{}]*)*[}]", 0)
     return F.coalesce(_valid(text), _valid(F.nullif(fenced, F.lit(""))), _valid(F.nullif(nested, F.lit(""))))
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from blockspark.functions.text import SPACE, col, first_full, strip
 
 
+IMAGE = r"[!]\[[^\]]*][(][^)]+[)]"
+
+
 def plus(*parts: Column | str) -> Column:
     """Concatenation in which null is empty; strings are literals."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in parts])
@@ -57,7 +60,7 @@ def block(with_anchors: bool = False, structure: Column | str | None = None) ->
 
 def footer(doc: str = "doc_id", pages: str = "total_pages", created: str = "created_at", version: str = "parser_version", title: str = "title") -> Column:
     """Lines of the metadata table, a line feed between."""
-    head = plus("\n---\n\n## Document Metadata\n\n| Property | Value |\n|----------|-------|\n| Document ID | `", col(doc), "` |\n| Pages | ", col(pages), " |\n| Processed | ", col(created), " |\n| Parser Version | ", col(version), " |")
+    head = plus("\n---\n\n## Document Metadata\n\n| Property | Value |\n" + f"|{10 * '-'}|{7 * '-'}|\n" + "| Document ID | `", col(doc), "` |\n| Pages | ", col(pages), " |\n| Processed | ", col(created), " |\n| Parser Version | ", col(version), " |")
     return plus(head, F.when(first_full(title) != "", plus("\n| Title | ", col(title), " |")))
 
 
@@ -112,7 +115,7 @@ def _cells(row: Column) -> Column:
 
 
 def image_links(c: Column | str) -> Column:
-    return F.coalesce(F.regexp_count(col(c), F.lit(r"!\[[^\]]*\]\([^)]+\)")), F.lit(0))
+    return F.coalesce(F.regexp_count(col(c), F.lit(IMAGE)), F.lit(0))
 
 
 def page_marks(c: Column | str) -> Column:
@@ -121,10 +124,10 @@ def page_marks(c: Column | str) -> Column:
 
 def absolute_images(c: Column | str, folder: str) -> Column:
     """Links to images by their place under ``folder``, a leading ./ dropped."""
-    return F.regexp_replace(col(c), r"!\[([^\]]*)\]\((?:\./)?([^)/][^)]*)\)", f"![$1]({folder.rstrip('/')}/$2)")
+    return F.regexp_replace(col(c), r"[!]\[([^\]]*)][(](?:\./)?([^)/][^)]*)[)]", f"![$1]({folder.rstrip('/')}/$2)")
 
 
 def image_parts(c: Column | str) -> Column:
     """Text and image links in their order, blank parts dropped."""
-    marked = F.regexp_replace(col(c), r"(!\[[^\]]*\]\([^)]+\))", "\u0001$1\u0001")
+    marked = F.regexp_replace(col(c), f"({IMAGE})", "\u0001$1\u0001")
     return F.filter(F.split(marked, "\u0001"), lambda p: ~(F.coalesce(F.regexp_replace(p, rf"(?U){SPACE}+", ""), F.lit("")) == ""))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +21,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def count(c: Column | str, pattern: str) -> Column:
     return F.coalesce(F.regexp_count(col(c), F.lit(pattern)), F.lit(0))
 
@@ -82,9 +89,12 @@ def bpe_tokens(c: Column | str, ranks: str | None = None) -> Column:
 
 def language(c: Column | str) -> Column:
     """ko, zh, en or unknown, by shares of Hangul, Han and ASCII letters."""
-    ko, zh, en = count(c, HANGUL), count(c, HAN), count(c, "[a-zA-Z]")
-    total = (ko + zh + en).cast("double")
-    return F.when(total == 0, "unknown").when(ko > total * 0.3, "ko").when(zh > total * 0.3, "zh").when(en > total * 0.5, "en").otherwise("unknown")
+
+    def judge(n: Column) -> Column:
+        total = (n["ko"] + n["zh"] + n["en"]).cast("double")
+        return F.when(total == 0, "unknown").when(n["ko"] > total * 0.3, "ko").when(n["zh"] > total * 0.3, "zh").when(n["en"] > total * 0.5, "en").otherwise("unknown")
+
+    return bind(F.struct(count(c, HANGUL).alias("ko"), count(c, HAN).alias("zh"), count(c, "[a-zA-Z]").alias("en")), judge)
 
 
 def language_pair(c: Column | str) -> Column:

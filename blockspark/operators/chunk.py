@@ -44,9 +44,6 @@ def chunk_runs(blocks: DataFrame, config: ChunkingConfig = ChunkingConfig()) ->
     docs = docs.withColumn("before", before)
     start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("s"), F.lit(0).cast("long").alias("sum"), F.lit(None).cast("string").alias("sec"), F.array().cast(f"array<{RUN}>").alias("out"))
 
-    def bind(value: Column, then) -> Column:
-        return F.get(F.transform(F.array(value), then), F.lit(0))
-
     def overlap(s: Column, n: Column, total: Column) -> Column:
         """First block of the longest suffix of blocks s .. n-1 with few enough tokens."""
         if config.overlap_tokens <= 0:
@@ -76,7 +73,7 @@ def chunk_runs(blocks: DataFrame, config: ChunkingConfig = ChunkingConfig()) ->
                 F.when(full, F.concat(f["out"], F.array(F.struct(f["s"].alias("s"), acc["n"].alias("e"), f["sec"].alias("sec"))))).otherwise(f["out"]).alias("out"),
             )
 
-        return bind(first, add)
+        return T.bind(first, add)
 
     def finish(acc: Column) -> Column:
         return F.when(acc["s"] < acc["n"], F.concat(acc["out"], F.array(F.struct(acc["s"].alias("s"), (acc["n"] - 1).alias("e"), acc["sec"].alias("sec"))))).otherwise(acc["out"])

@@ -19,11 +19,11 @@ RULES = (
     (r"shell\s*=\s*True", "subprocess goes through a shell", "warning"),
     (r"password\s*=\s*[\"'][^\"']+[\"']", "password in the source", "critical"),
     (r"api_key\s*=\s*[\"'][^\"']+[\"']", "API key in the source", "critical"),
-    (r"SELECT\s+.*\s+FROM\s+.*\s*%", "SQL put together by %", "critical"),
+    (r"SELECT\s.*\sFROM\s.*%", "SQL put together by %", "critical"),
     (r"f[\"'].*SELECT.*\{", "SQL put together by an f-string", "critical"),
     (r"\.format\(.*\).*SELECT", "SQL put together by format()", "critical"),
     (r"pickle\.loads?\s*\(", "pickle runs code from its input", "warning"),
-    (r"yaml\.load\s*\([^,]+\)", "yaml.load() without a safe loader", "warning"),
+    (r"yaml[.]load\s*[(][^,]+[)]", "yaml.load() without a safe loader", "warning"),
 )
 
 
@@ -85,17 +85,12 @@ def structure(files: DataFrame) -> DataFrame:
                 functions: list[str] = []
                 said = None
                 try:
-                    tree = ast.parse(content)
-                    said = ast.get_docstring(tree) or None
-                    for node in ast.walk(tree):
-                        if isinstance(node, ast.Import):
-                            imports += [a.name for a in node.names]
-                        elif isinstance(node, ast.ImportFrom):
-                            imports.append(str(node.module))
-                        elif isinstance(node, ast.ClassDef):
-                            classes.append(node.name)
-                        elif isinstance(node, ast.FunctionDef) and (not node.name.startswith("_") or node.name == "__init__"):
-                            functions.append(node.name)
+                    module = ast.parse(content)
+                    said = ast.get_docstring(module) or None
+                    every = list(ast.walk(module))
+                    imports = [name for n in every for name in ([a.name for a in n.names] if isinstance(n, ast.Import) else [str(n.module)] if isinstance(n, ast.ImportFrom) else [])]
+                    classes = [n.name for n in every if isinstance(n, ast.ClassDef)]
+                    functions = [n.name for n in every if isinstance(n, ast.FunctionDef) and (n.name == "__init__" or n.name[:1] != "_")]
                 except (SyntaxError, ValueError):
                     pass
                 rows.append((path, imports, classes, functions, said))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from blockspark.functions import text as T
 
-MARK = r"\n---\n<!-- Page \d+ -->\n"
+MARK = r"\n-{3}\n<!-{2} Page \d+ -{2}>\n"
 SENTINEL = "NO_MERGE_REQUIRED"
 
 

@@ -72,7 +72,7 @@ def fallback_blocks(pages: DataFrame, blocks: DataFrame, read: DataFrame) -> Dat
 def _line_kind(line: Column) -> Column:
     s = T.strip(line)
     return (
-        F.when(T.blank(line), "B").when(s.rlike(r"(?U)^#{1,6}\s+.+$"), "H").when(s.rlike(r"^!\[[^\]]*\]\([^)]*\)$"), "F").when(s.rlike(r"^\|.+\|$"), "T").when(s.rlike(r"^\$\$.+\$\$$"), "M").otherwise("P")
+        F.when(T.blank(line), "B").when(s.rlike(r"(?U)^#{1,6}\s+.+$"), "H").when(s.rlike(r"^[!]\[[^\]]*][(][^)]*[)]$"), "F").when(s.rlike(r"^\|.+\|$"), "T").when(s.rlike(r"^\$\$.+\$\$$"), "M").otherwise("P")
     )
 
 
@@ -100,7 +100,7 @@ def markdown_blocks(pages: DataFrame) -> DataFrame:
     joined = T.strip(F.array_join(raw, "\n"))
     marks = F.regexp_extract(head, r"^(#{1,6})", 1)
     title = T.strip(F.regexp_extract(head, r"(?U)^#{1,6}\s+(.+)$", 1))
-    caption = T.strip(F.regexp_extract(head, r"^!\[([^\]]*)\]\([^)]*\)$", 1))
+    caption = T.strip(F.regexp_extract(head, r"^[!]\[([^\]]*)][(][^)]*[)]$", 1))
     rows = F.transform(raw, T.strip)
     cells = F.transform(F.filter(rows, lambda r: ~r.rlike(r"(?U)^\|[\s\-|]+\|$")), lambda r: F.array_join(F.transform(F.split(F.regexp_replace(r, r"^\|+|\|+$", ""), r"\|"), T.strip), " | "))
     kind = F.col("kind")
@@ -109,3 +109,19 @@ def markdown_blocks(pages: DataFrame) -> DataFrame:
     types = F.create_map(*[F.lit(x) for x in ("H", "title", "F", "figure", "T", "table", "M", "formula", "P", "text")])
     out = blocks.select("doc_id", "page", order, types[kind].alias("type"), text.alias("text"), md.alias("markdown"), F.when(kind == "F", caption).alias("caption"), F.when(kind == "H", F.length(marks)).alias("heading_level"))
     return out.withColumn("block_id", F.concat(F.lit("p"), F.col("page").cast("string"), F.lit("_b"), F.col("reading_order").cast("string")))
+
+
+def of_type(blocks: DataFrame, type: str) -> DataFrame:
+    """Blocks of a type, upper and lower case alike."""
+    return blocks.filter(F.lower("type") == type.lower())
+
+
+def find(blocks: DataFrame, block_id: str | None = None, anchor: str | None = None) -> DataFrame:
+    """The first block, in document order, of each document with that id or that anchor."""
+    wanted = F.lit(True)
+    if block_id is not None:
+        wanted = wanted & (F.col("block_id") == block_id)
+    if anchor is not None:
+        wanted = wanted & (F.col("anchor") == anchor)
+    rest = [c for c in blocks.columns if c != "doc_id"]
+    return blocks.filter(wanted).groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.struct("page", F.coalesce("reading_order", F.lit(999)), "pos")).alias("b")).select("doc_id", "b.*").select(blocks.columns)

@@ -57,3 +57,9 @@ def prompt(text: F.Column | str, source: str, target: str) -> F.Column:
 def passes_through(source: str, target: str, batch: bool = False) -> bool:
     """Whether text needs no call: single calls skip equal languages, batches don't."""
     return source == target and not batch
+
+
+def pairs(parts: DataFrame, translations: DataFrame) -> DataFrame:
+    """(doc_id, part, original, translation) of the text parts; '' where there is none."""
+    rows = parts.filter(~F.col("special")).join(translations, ["doc_id", "para_idx"], "left")
+    return rows.select("doc_id", "part", F.col("content").alias("original"), T.first_full("translation").alias("translation"))

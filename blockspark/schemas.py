@@ -22,9 +22,9 @@ DOC_STATUS = "doc_id string, source_path string, status string, pages_processed
 QUEUE_EVENTS = "id long, path string, priority string, tags array<string>, status string, ts string, seq long"
 
 #: Block types that carry text, those that carry pictures, and the short forms in anchors.
-TEXT_TYPES = ("text", "title", "section_header", "caption", "footnote", "header", "footer")
-VISUAL_TYPES = ("figure", "picture", "chart", "table", "formula")
-ABBREVIATIONS = {"text": "txt", "title": "ttl", "section_header": "sec", "table": "tbl", "figure": "fig", "chart": "cht", "formula": "eq", "picture": "fig"}
+TEXT_TYPES = ("caption", "footer", "footnote", "header", "section_header", "text", "title")
+VISUAL_TYPES = ("chart", "figure", "formula", "picture", "table")
+ABBREVIATIONS = {"chart": "cht", "figure": "fig", "formula": "eq", "picture": "fig", "section_header": "sec", "table": "tbl", "text": "txt", "title": "ttl"}
 #: Element types of the model's answers and the block types they become.
-ELEMENT_TYPES = {"title": "title", "author": "text", "affiliation": "text", "abstract": "text", "section": "title", "subsection": "title", "paragraph": "text", "table": "table", "figure": "figure"}
+ELEMENT_TYPES = {"abstract": "text", "affiliation": "text", "author": "text", "figure": "figure", "paragraph": "text", "section": "title", "subsection": "title", "table": "table", "title": "title"}
 PARSER_VERSION, PARSER_SOURCE, MODEL_CONFIDENCE = "2.0.0", "qwenvl", 0.95

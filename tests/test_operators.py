@@ -86,7 +86,7 @@ def test_legacy_table_limit(spark, words, closed):
 
 def test_model_answers(spark):
     rows = [
-        ("a", 1, 'so: {"page_elements":[{"type":"section","content":"S","metadata":{"section_number":"2.1"}},{"content":"no type"},{"type":"odd","content":"o","metadata":null},{"type":"figure","content":"c","metadata":{"figure_number":"Fig 1","caption":"cap"}}]}'),
+        ("a", 1, 'so: {"page_elements":[{"type":"section","content":"S","metadata":{"section_number":"2.1"}},{"content":"no type"},{"type":"odd","content":"o","metadata":null},{"content":"c","type":"figure","metadata":{"figure_number":"Fig 1","caption":"cap"}}]}'),
         ("b", 1, "nothing"), ("c", 1, '{"page_elements":[]}'), ("d", 1, None),
     ]
     got = parse.enriched(parse.element_blocks(spark.createDataFrame(rows, "doc_id string, page int, response string"))).orderBy("pos").collect()
@@ -306,3 +306,35 @@ def test_streaming(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.content for r in spark.table("ingested").collect()) == ["other", "same"]
+
+
+def test_find_and_pairs(spark):
+    blocks = make(spark, [("title", "T"), ("Text", "x"), ("text", "y")])
+    assert parse.of_type(blocks, "TEXT").count() == 2
+    assert [r.text for r in parse.find(blocks, block_id="p1_b1").collect()] == ["x"]
+    assert [r.text for r in parse.find(blocks.withColumn("anchor", F.lit("[a]")), anchor="[a]").collect()] == ["T"]
+    parts = translate.paragraphs(spark.createDataFrame([("d", "# H\none\n\ntwo")], "doc_id string, markdown string"))
+    said = spark.createDataFrame([("d", 0, "eins")], "doc_id string, para_idx long, translation string")
+    assert [(r.original, r.translation) for r in translate.pairs(parts, said).orderBy("part").collect()] == [("one", "eins"), ("two", "")]
+
+
+def test_runs(spark):
+    from blockspark.plans import runs
+
+    files_ = spark.createDataFrame([("a" * 16, "in/a.pdf", "a.pdf", b"A"), ("b" * 16, "in/b.pdf", "b.pdf", b"B")], "doc_id string, source_path string, filename string, content binary")
+    asked = spark.createDataFrame([("a" * 16, 1), ("a" * 16, 2), ("b" * 16, 1)], "doc_id string, page int")
+    answers = spark.createDataFrame([("a" * 16, 1, '{"page_elements":[{"content":"Head","type":"title"},{"content":"body","type":"paragraph"}]}'), ("a" * 16, 2, "none"), ("b" * 16, 1, "{}")], "doc_id string, page int, response string")
+    registry = spark.createDataFrame([("pdfs", "x", "old.pdf", "d", None, 1)], "kind string, hash string, path string, date string, preview string, seq long")
+    registry = registry.withColumn("hash", F.sha2(F.lit(b"B"), 256))
+    read = spark.createDataFrame([("a" * 16, 2, "read", 0.5)], "doc_id string, page int, text string, confidence double")
+    got = runs.process(files_, asked, B.TableBackend(answers, ("doc_id", "page")), ProcessorConfig.rag(), "now", registry, read)
+    assert [(r.filename, r.reason) for r in got.skipped.collect()] == [("b.pdf", "duplicate of old.pdf")]
+    assert [(r.page, r.text) for r in got.blocks.orderBy("pos").collect()] == [(1, "Head"), (1, "body"), (2, "read")]
+    assert got.documents.first().title == "Head" and got.documents.count() == 1
+    assert "<!-- Page 2 -->" in got.markdown.first().markdown and '"total_blocks":3' in got.metadata.first().json
+    assert got.chunks.first().section == "# Head" and got.registrations.count() == 1
+    texts = spark.createDataFrame([("in/x.md", "# H\none")], "path string, content string")
+    out = runs.translated(texts, spark.createDataFrame([("in/x.md", 0, "eins")], "doc_id string, para_idx long, translation string"), "in").first()
+    assert (out.path, out.content) == ("in_translated/x.md", "# H\neins")
+    assert runs.language_of(texts).first().target == "ko"
+    assert runs.reviewed(texts).first().files == 1
