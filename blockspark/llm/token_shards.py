@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,55 +40,30 @@ from blockspark.session import ship
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH, SLOTS, KEY, ROUNDS = 512, 16_384, 0x5EED, 8
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Chunks of text whose ids a worker remembers.
-REMEMBERED = 400_000
 
 
-class Unsplittable(Exception):
-    """A chunk that may not be encoded apart from its neighbours."""
-
-
-class Encoder(dict):
-    """Chunk between single spaces to its ids as bytes.
-
-    A space and the word after it never share a token with what comes before, unless
-    white space meets white space; texts with such places are encoded in one piece.
-    """
+class Encoder:
+    """Texts to ids as bytes. (A cache of words was measured and is slower than the library.)"""
 
     def __init__(self, path: str):
         import tiktoken
 
-        super().__init__()
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         #: the first id that is no token's
         self.end = max(ranks.values()) + 1
         self.type = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
+        self.code = "H" if self.type.itemsize == 2 else "I"
         self.end_bytes = np.array([self.end], self.type).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(chunk) < 2 or chunk[1].isspace() or chunk[-1].isspace():
-            raise Unsplittable
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[chunk] = ids = self.whole(chunk)
-        return ids
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), self.type).tobytes()
+    def count(self, text: str | None) -> int:
+        """Ids of a text, the end mark included."""
+        return 1 + (len(self.encoding.encode_ordinary(text)) if text else 0)
 
     def encode(self, text: str | None) -> bytes:
         """All ids of a text and the end mark."""
-        if not text:
-            return self.end_bytes
-        first, *rest = text.split(" ")
-        if not first or first[-1].isspace():
-            return self.whole(text) + self.end_bytes
-        try:
-            return self.whole(first) + b"".join([self[" " + c] for c in rest]) + self.end_bytes
-        except Unsplittable:
-            return self.whole(text) + self.end_bytes
+        return array(self.code, self.encoding.encode_ordinary(text)).tobytes() + self.end_bytes if text else self.end_bytes
 
 
 @lru_cache(maxsize=2)
@@ -132,10 +108,9 @@ def counts(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = encoder(vocabulary), 0
-        width = held.type.itemsize * length
         for batch in batches:
             for part in slices(batch, 1):
-                total += sum(-(-len(held.encode(t)) // width) for t in part.column(1).to_pylist())
+                total += sum(-(-held.count(t) // length) for t in part.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays([pa.array([_partition()], pa.int32()), pa.array([total], pa.int64())], names=["k", "n"])
 
     ship(docs.sparkSession)
