@@ -1,8 +1,8 @@
 """Quality rules: robust multivariate outliers per language and source.
 
 Base counts reject texts that are tiny or repeat themselves. The other texts become
-vectors of transformed statistics. For each language and source, and for each language
-as a whole, the minimum covariance determinant is sought by concentration steps: the
+vectors of transformed statistics. For each language and source, for each language as a
+whole, and for all languages together, the minimum covariance determinant is sought by concentration steps: the
 rows are ordered by Mahalanobis distance, and the mean and covariance of the nearest
 HALF become the next estimate. A step is one aggregation over all rows: distances fall
 into fine logarithmic bins that hold counts and moments, so the rows of a group never
@@ -12,7 +12,7 @@ determinant wins, is made consistent, and reweighted once. A diagonal floor keep
 covariance invertible where a statistic hardly varies.
 
 Groups of fewer than LEAST rows are judged by their language's estimate, and where that
-has fewer too, only the base rules hold. Nulls and empty texts fail the base rules. Null
+has fewer too, by the estimate over all languages, whatever its size. Nulls and empty texts fail the base rules. Null
 languages and sources are groups of their own. Repeated rows are judged each; other
 columns are left alone; an empty table gives an empty result.
 """
@@ -173,12 +173,14 @@ def nearest(bins: pd.DataFrame, share: float) -> np.ndarray:
 
 
 def _levels(rows: DataFrame) -> DataFrame:
-    """Each row once for its language and source, and once for its language."""
-    return rows.withColumn("g_source", F.explode(F.array("g_source", F.lit("*"))))
+    """Each row once for its language and source, once for its language, and once for all."""
+    level = lambda lang, source: F.struct(lang.alias("g_lang"), source.alias("g_source"))
+    own = F.array(level(F.col("g_lang"), F.col("g_source")), level(F.col("g_lang"), F.lit("*")), level(F.lit("*"), F.lit("*")))
+    return rows.withColumn("g", F.explode(own)).select("g.*", "x")
 
 
 def robust_estimates(rows: DataFrame, half: float = HALF, steps: int = STEPS) -> DataFrame:
-    """ESTIMATE with one row per group: the winning start, made consistent and reweighted.
+    """ESTIMATE with one row per group: the winning start, made consistent and reweighted; n counts all its rows.
 
     rows: (g_lang, g_source, x). The estimates are small: one row for each group.
     """
@@ -213,7 +215,7 @@ def robust_estimates(rows: DataFrame, half: float = HALF, steps: int = STEPS) ->
         near = salted(rows, starts, keys, how="inner").withColumn("e", F.explode("e")).select(*keys, "x", F.col("e.start").alias("start"), F.col("e.m").alias("m"), F.col("e.w").alias("w"))
         fine = near.withColumn("bin", F.floor(F.least(F.greatest(F.log(_distance()), F.lit(LOW)), F.lit(HIGH)) * PER_E).cast("int"))
         held = fine.groupBy(*keys, "start", "bin").agg(*_moments()).groupBy(*keys, "start").applyInPandas(step, ESTIMATE).checkpoint()
-    best = held.groupBy(keys).agg(F.min_by(F.struct("start", "m", "w"), F.struct("logdet", "start")).alias("e")).select(*keys, "e.*")
+    best = held.groupBy(keys).agg(F.min_by(F.struct("start", F.col("n").alias("rows"), "m", "w"), F.struct("logdet", "start")).alias("e")).select(*keys, "e.*")
 
     def reweigh(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -222,21 +224,24 @@ def robust_estimates(rows: DataFrame, half: float = HALF, steps: int = STEPS) ->
                 sums = np.array([r[c] for c in SUMS], dtype=float)
                 mean, cov = estimate(sums, consistency(0.975))
                 w, det = packed(cov)
-                out.append((r["g_lang"], r["g_source"], 0, r["n"], mean.tolist(), w, det))
+                out.append((r["g_lang"], r["g_source"], 0, r["rows"], mean.tolist(), w, det))
             yield pd.DataFrame(out, columns=["g_lang", "g_source", "start", "n", "m", "w", "logdet"])
 
     inner = salted(rows, best, keys, how="inner").filter(_distance() <= chi2_quantile(0.975, P))
-    return inner.groupBy(keys).agg(*_moments()).mapInPandas(reweigh, ESTIMATE).checkpoint()
+    return inner.groupBy(keys).agg(F.first("rows").alias("rows"), *_moments()).mapInPandas(reweigh, ESTIMATE).checkpoint()
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tail: float = TAIL, least: int = LEAST) -> DataFrame:
-    """A row per row: id, the base counts, base_failed, distance2 (null where nothing judges it), kept."""
+    """A row per row: id, the base counts, base_failed, distance2 (null only where no row of the table passes the base rules), kept."""
     shared_dir(docs.sparkSession)
     rows = measured(docs, id_col, text_col).withColumn("base_failed", base_failed()).checkpoint()
-    found = robust_estimates(rows.filter(~F.col("base_failed"))).filter(F.col("n") >= least).select("g_lang", "g_source", "m", "w")
+    found = robust_estimates(rows.filter(~F.col("base_failed"))).filter((F.col("n") >= least) | (F.col("g_lang") == "*")).select("g_lang", "g_source", "m", "w")
+    last = found.filter("g_lang = '*'").select(F.col("m").alias("m3"), F.col("w").alias("w3"))
+    found = found.filter("g_lang != '*'")
     own = salted(rows, found.select("g_lang", "g_source", F.col("m").alias("m1"), F.col("w").alias("w1")), ["g_lang", "g_source"])
     both = salted(own, found.filter("g_source = '*'").select("g_lang", F.col("m").alias("m2"), F.col("w").alias("w2")), ["g_lang"])
-    both = both.withColumn("m", F.coalesce("m1", "m2")).withColumn("w", F.coalesce("w1", "w2"))
+    both = both.join(F.broadcast(last), how="left")  # one row, or none
+    both = both.withColumn("m", F.coalesce("m1", "m2", "m3")).withColumn("w", F.coalesce("w1", "w2", "w3"))
     far = both.withColumn("distance2", F.when(F.col("m").isNotNull(), _distance()))
     return far.select(id_col, *statistics.BASE, "base_failed", "distance2", (~F.col("base_failed") & F.coalesce(F.col("distance2") <= chi2_quantile(tail, P, True), F.lit(True))).alias("kept"))
 

@@ -72,3 +72,28 @@ def test_edges(spark):
     got = Q.digest(Q.judge(df)).collect()
     assert sorted((g.doc_id or -1, g.base_failed, g.kept) for g in got) == sorted([(1, True, False), (2, True, False), (2, False, True), (3, False, True), (4, True, False), (-1, False, True)])
     assert Q.judge(df.limit(0)).count() == 0
+
+
+def plain(r, n):
+    return " ".join("".join(r.choice(list("abcdefghij"), r.integers(3, 9))) for _ in range(n))
+
+
+def test_small_language_is_judged(spark):
+    r = np.random.default_rng(5)
+    rows = [(k, plain(r, int(r.integers(40, 200))), "en" if k < 150 else "xx" if k < 170 else None, "s") for k in range(180)]
+    junk = " ".join(f"{w} #|$ <{w[:2]}>" for w in plain(r, 60).split())
+    rows += [(200, junk, "xx", "s"), (201, junk, None, "s"), (202, junk, "yy", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {g.doc_id: g for g in Q.judge(df).collect()}
+    assert len(got) == len(rows) and not any(g.base_failed for g in got.values())
+    assert all(g.distance2 is not None for g in got.values())
+    assert {d for d, g in got.items() if not g.kept} == {200, 201, 202}
+
+
+def test_least_counts_all_rows_of_a_group(spark):
+    r = np.random.default_rng(6)
+    x = r.normal(size=(100, Q.P)) * 0.1
+    x[:8] += 5
+    df = spark.createDataFrame([("=a", "=b", [float(v) for v in row]) for row in x], "g_lang string, g_source string, x array<double>")
+    got = {(g.g_lang, g.g_source): g.n for g in Q.robust_estimates(df).collect()}
+    assert got == {("=a", "=b"): 100, ("=a", "*"): 100, ("*", "*"): 100}
