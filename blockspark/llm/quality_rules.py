@@ -33,9 +33,10 @@ from blockspark.llm import statistics
 from blockspark.llm.common import map_batches, salted
 from blockspark.session import shared_dir, ship
 
-#: Names of the transformed statistics, and the standard deviation below which each is taken as noise.
+#: Names of the transformed statistics, and the standard deviation below which each is taken as noise;
+#: the bounded ones (dup_lines below 1, repeats below 0.2) are small enough that each alone can pass the cut.
 VECTOR = ("log_words", "word_length", "symbols", "dup_lines", "repeats", "upper", "bars")
-FLOOR = (0.5, 0.12, 0.15, 0.12, 0.06, 0.05, 0.05)
+FLOOR = (0.5, 0.12, 0.15, 0.06, 0.02, 0.05, 0.05)
 #: Share of a group that the estimate covers, rows a group needs, steps, and the tail of the chi-squared distribution beyond which a row is rejected.
 HALF, LEAST, STEPS, TAIL = 0.75, 100, 4, 1e-12
 #: Bins for the logarithm of a squared distance.

@@ -97,3 +97,16 @@ def test_least_counts_all_rows_of_a_group(spark):
     df = spark.createDataFrame([("=a", "=b", [float(v) for v in row]) for row in x], "g_lang string, g_source string, x array<double>")
     got = {(g.g_lang, g.g_source): g.n for g in Q.robust_estimates(df).collect()}
     assert got == {("=a", "=b"): 100, ("=a", "*"): 100, ("*", "*"): 100}
+
+
+def test_each_bounded_statistic_alone_can_reject():
+    r = np.random.default_rng(7)
+    measure = lambda t: (Q.statistics.base(t), Q.vector(t, Q.statistics.base(t)))
+    x = np.array([measure("\n".join(plain(r, 8) for _ in range(int(r.integers(5, 300)))))[1] for _ in range(150)])
+    lines = [plain(r, 3) for _ in range(100)] * 6
+    base, shuffled = measure("\n".join(lines[k] for k in r.permutation(len(lines))))
+    assert 100 * base[4] <= 20 * base[0]  # the base rules miss it
+    repeats = [*x.mean(0)[:4], 0.195, *x.mean(0)[5:]]
+    mean, cov = exact(x)
+    for far in (np.array(shuffled), np.array(repeats)):
+        assert (far - mean) @ np.linalg.inv(cov) @ (far - mean) > Q.chi2_quantile(Q.TAIL, Q.P, True)
