@@ -156,13 +156,22 @@ def _by_text(doc: np.ndarray, key: np.ndarray, entry: np.ndarray) -> tuple[list,
     return doc[cut].tolist(), key[cut].tolist(), [raw[a * width : b * width] for a, b in zip(cut.tolist(), ends.tolist(), strict=True)]
 
 
-def _repeats(gram: np.ndarray, run: np.ndarray, doc: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order, and in it: whether a run is the first of its like, and whether it starts later than that."""
+def _repeats(gram: np.ndarray, run: np.ndarray, doc: np.ndarray, key: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """An order, and in it: whether a run is the first of its like, starts later than that, or is it or ties with it.
+
+    Unlike texts of one id may tie at the same place; each such text is there once.
+    """
     order = np.lexsort((a, doc, run, gram))
     g, r, d, p = gram[order], run[order], doc[order], a[order]
     fresh = np.append(True, (g[1:] != g[:-1]) | (r[1:] != r[:-1]))
     head = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-    return order, fresh, (d != d[head]) | (p != p[head])
+    later = (d != d[head]) | (p != p[head])
+    tied = ~fresh & ~later
+    if tied.any():
+        order = np.lexsort((key, a, doc, run, gram))
+        k = key[order]
+        tied[1:] &= k[1:] != k[:-1]
+    return order, fresh, later, fresh | tied
 
 
 _COLUMNS = (("gram", "<u8"), ("run", "<u8"), ("doc", "<i8"), ("key", "<i8"), ("a", "<u4"), ("left", "u1"), ("right", "u1"))
@@ -195,14 +204,14 @@ def _send(docs: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
             nonlocal turn
             g, r, d, k, a, left, right = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
-            order, fresh, later = _repeats(g, r, d, a)
+            order, _, later, first = _repeats(g, r, d, k, a)
             entry = np.zeros(int(later.sum()), ENTRY)
             gone = order[later]
             entry["a"], entry["left"], entry["right"], entry["whole"] = a[gone], left[gone], right[gone], 1
             docs_, keys, blobs = _by_text(d[gone], k[gone], entry)
             buckets = [(turn + i) % parts for i in range(len(blobs))]
             turn += len(blobs)
-            keep = np.sort(order[fresh])  # in the order of the texts, whose columns then pack well
+            keep = np.sort(order[first])  # in the order of the texts, whose columns then pack well
             bucket = (g[keep] % _U(parts)).astype(np.int64)
             place = np.argsort(bucket, kind="stable")
             keep, bucket = keep[place], bucket[place]
@@ -248,13 +257,13 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     blobs.clear()
     if not len(g):
         return
-    order, fresh, later = _repeats(g, r, d, a)
+    order, fresh, later, first = _repeats(g, r, d, k, a)
     g = g[order]
     # how many distinct runs a gram has
     opens = np.append(True, g[1:] != g[:-1])
     which = np.cumsum(opens) - 1
     distinct = np.bincount(which, fresh)[which]
-    first = fresh & (distinct > 1)
+    first = first & (distinct > 1)
     pick = later | first
     i = order[pick]
     entry = np.zeros(len(i), ENTRY)

@@ -95,3 +95,15 @@ def test_edges(spark):
     assert got[3:5] == [(4, 300, 0), (4, 300, 0)] and got[-1] == (99, 300, 300)
     assert got[5] == (4, 306, 300) and got[6] == (7, 5000, 4999)
     assert S.repeated_spans(df.limit(0), parts=2).count() == 0
+
+
+def test_ties_get_the_verdict_of_their_head(spark):
+    r = random.Random(3)
+    text = lambda n: "".join(r.choice("abcdef ") for _ in range(n))
+    header, other = text(300), text(300)
+    rows = [(1, header + "1" + text(200)), (2, "2" + other[:200] + "3" + text(200))]
+    rows += [(None, header + c + text(200)) for c in "45"] + [(9, other + c + text(200)) for c in "67"]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), "doc_id long, text string")  # two rows a task
+    for table in (df, df.repartition(6), df.coalesce(1)):
+        got = sorted((g.doc_id or 99, g.n_removed) for g in S.digest(S.repeated_spans(table, parts=2)).collect())
+        assert got == [(1, 0), (2, 0), (9, 200), (9, 200), (99, 300), (99, 300)]
