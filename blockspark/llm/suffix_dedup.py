@@ -14,8 +14,8 @@ windows are equal exactly if their anchors agree far enough to the right and lef
    distinct run is left, and only those with an anchor in common with another need
    their bytes compared.
 3. Those bytes are fetched and sorted, from the anchor rightwards and leftwards, by
-   deep-shallow sorting: multikey quicksort by eight-byte words to a shallow depth, then
-   blind tries for the groups that still agree. A window equals an earlier one if both
+   deep-shallow sorting: groups refined by a lexsort of eight-byte words to a shallow
+   depth, then blind tries for the groups that still agree. A window equals an earlier one if both
    stand in one class of both orders.
 
 Null texts count as empty; texts shorter than LENGTH lose nothing; texts of any length
@@ -40,7 +40,7 @@ from blockspark.session import ship
 
 #: Bytes of a repeated string, and of an anchor (a multiple of eight).
 LENGTH, GRAM = 100, 32
-#: Bytes that multikey quicksort compares before blind tries take over: rightwards beyond the gram, and leftwards.
+#: Bytes that the word-wise refinement compares before blind tries take over: rightwards beyond the gram, and leftwards.
 SHALLOW = 16
 #: Window starts in a segment, and anchors that a task gathers before it sends them.
 SEGMENT, GATHERED = 1 << 20, 1 << 20
@@ -322,8 +322,8 @@ def blind_trie(strings: list[bytes]) -> list[int]:
 def deep_shallow(rows: np.ndarray, shallow: int) -> np.ndarray:
     """The order of the rows of a byte matrix.
 
-    Multikey quicksort by words of eight bytes, all groups of a depth at once, until
-    ``shallow`` bytes; groups that still agree are ordered by blind tries.
+    A lexsort of words of eight bytes refines all groups of a depth at once, without
+    three-way partitioning, until ``shallow`` bytes; groups that still agree are ordered by blind tries.
     """
     n, width = rows.shape
     order = np.arange(n)
