@@ -86,3 +86,20 @@ def test_edges_and_blocks(spark):
         assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 4, 5]
     assert D.find_leaks(docs, items.limit(0)).count() == 0 and D.find_leaks(docs.limit(0), items).count() == 0
     assert D.drop_leaks(docs, items.limit(0)).count() == 7
+
+
+def test_long_documents(sf):
+    import pyarrow.parquet as pq
+
+    docs = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist() if len(r["text"] or "") >= 4000]
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{sf}/benchmark.parquet").to_pylist()]
+    docs.append((-1, " ".join(t for _, t in docs) + " " + items[0][1]))
+    seeds = lambda t: {tuple(w[i : i + D.MIN_MATCH]) for w in [D.tokens(t)] for i in range(len(w) - D.MIN_MATCH + 1)}
+    held = [(i, t, seeds(t)) for i, t in items]
+    want = set()
+    for d, t in docs:
+        met = seeds(t)
+        want |= brute([(d, t)], [(i, x) for i, x, s in held if s & met])
+    index = D.Index(items)
+    got = {(docs[k][0], index.ids[i], n) for k, leaks in enumerate(index.leaks([t for _, t in docs])) for i, n, *_ in leaks}
+    assert got == want and (-1, items[0][0]) in {g[:2] for g in got}

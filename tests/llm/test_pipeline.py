@@ -1,7 +1,9 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from blockspark.llm import pieces, secrets
+from blockspark.llm.decontamination import MIN_MATCH, tokens
 from blockspark.llm.queries import op6_quality_classifier
 from tests.llm.test_decontamination import brute as brute_leaks
 from tests.llm.test_simhash import brute as brute_links
@@ -39,3 +41,19 @@ def test_stages_keep_columns_and_take_empty_tables(spark, sf):
         assert stage(spark, docs, sf).schema.names == docs.schema.names, name
         assert stage(spark, docs, sf).count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == 0
+
+
+def test_long_documents_lose_leaks(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").filter("length(text) >= 8000")
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    leaky = docs.withColumns({"doc_id": F.col("doc_id") + 1_000_000, "text": F.concat("text", F.lit(" " + items[0][1]))})
+    table = docs.unionByName(leaky)
+    seeds = lambda t: {tuple(w[i : i + MIN_MATCH]) for w in [tokens(t)] for i in range(len(w) - MIN_MATCH + 1)}
+    held = [(i, t, seeds(t)) for i, t in items]
+    want = set()
+    for r in table.collect():
+        met = seeds(r.text)
+        if not brute_leaks([(r.doc_id, r.text)], [(i, t) for i, t, s in held if s & met]):
+            want.add(r.doc_id)
+    got = {r.doc_id for r in dict(corpus_pipeline.STAGES)["benchmark decontamination"](spark, table, sf).collect()}
+    assert docs.count() > 0 and got == want and max(want) < 1_000_000

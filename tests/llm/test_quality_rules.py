@@ -110,3 +110,19 @@ def test_each_bounded_statistic_alone_can_reject():
     mean, cov = exact(x)
     for far in (np.array(shuffled), np.array(repeats)):
         assert (far - mean) @ np.linalg.inv(cov) @ (far - mean) > Q.chi2_quantile(Q.TAIL, Q.P, True)
+
+
+def test_repeats_of_long_texts(sf):
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table(f"{sf}/documents.parquet", columns=["text"])["text"].to_pylist() if t]
+    texts = [*texts, " ".join(texts)]
+    for text in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        counts = {}
+        for w in windows:
+            counts[w] = counts.get(w, 0) + 1
+        covered = {i + k for i, w in enumerate(windows) if counts[w] > 1 for k in range(5)}
+        assert Q.statistics.base(text)[4] == len(covered)
+    assert len(texts[-1].split()) > 3000
