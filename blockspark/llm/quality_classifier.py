@@ -4,9 +4,11 @@ The model learns from labelled documents that are not held out, at most about
 SAMPLE of them, drawn by a hash of their id; that bound is a parameter. Every document
 is then scored from its whole text by the flat forest.
 
-Null texts count as empty and get a score too, as do texts without words. Ids may be
-null (never learnt from) or repeated (each row is scored). Labels that are null are
-ignored. Without any label the score is one half. An empty table gives an empty result.
+Null texts count as empty and get a score too, as do texts without words; texts of any
+length are taken whole. Ids may be null (never learnt from) or repeated (each row is
+scored; the row with the least text is learnt from) and of any type. Labels that are null
+are ignored; of several labels of an id the greatest counts. Without any label the score
+is one half. Other columns are left alone; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,17 +32,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int =
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("y").alias("y"))
     share = min(1.0, size / max(1, known.count()))
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    # about ``size`` ids and small numbers: a bounded broadcast
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known.filter(drawn)), "doc_id")
+    # about ``size`` ids and small numbers: a bounded broadcast; of rows that share an id one is learnt from
+    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known.filter(drawn)), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", size: int = SAMPLE) -> trees.Forest:
     """The forest, trained on the driver from a bounded sample's statistics."""
 
     def run(batch: pa.RecordBatch) -> list:
-        return [batch.column(2), [statistics.features(t) for t in batch.column(1).to_pylist()], batch.column(0)]
+        return [batch.column(2), [statistics.features(t) for t in batch.column(1).to_pylist()], batch.column(0).cast(pa.string())]
 
-    rows = map_batches(labelled_sample(docs, labels, label, size), run, "y int, x array<double>, doc_id long", text=1).toPandas()
+    rows = map_batches(labelled_sample(docs, labels, label, size), run, "y int, x array<double>, doc_id string", text=1).toPandas()
     rows = rows.sort_values("doc_id", kind="stable")
     x = np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), len(statistics.FEATURES))
     return trees.train(x, rows["y"].to_numpy(dtype=float))

@@ -1,17 +1,25 @@
-"""Toxicity: how much shorter a text gets with a dictionary of toxic text.
+"""Toxicity: compressed lengths of windows under dictionaries trained on ordinary and on toxic text.
 
-Two zstandard dictionaries are built from a bounded sample of labelled documents. Both
-hold the words that most ordinary documents use; the toxic one also holds the words
-that occur in toxic documents significantly more often than chance allows. (The
-library's own trainer fills both with what the language has in common, which leaves
-little to compare; so the content is chosen by document counts.) A window is a word
-between markers; its two compressed lengths differ by the bytes that only the toxic
-dictionary explains. The counts of windows above a series of thresholds are weighed by
-a logistic regression on the sample, whose probability is the score.
+zstandard's trainer makes one dictionary of ordinary and one of toxic text, each from
+its own windows only. A window is a word with a space on both sides; its two compressed
+lengths, with the ordinary dictionary alone and with the toxic one behind it, differ by
+the bytes that only toxic text explains. (A toxic document is ordinary language with a
+few toxic words, so a toxic dictionary alone would have to learn the language again.)
+
+Which windows of a toxic document are the toxic ones isn't labelled. So training goes in
+ROUNDS over FOLDS of the labelled documents: dictionaries of the other folds compress a
+fold's windows, those whose difference exceeds what nearly all ordinary windows reach are
+the toxic text of the next round, and ordinary windows that exceed it too are trained
+into the ordinary dictionary. No word is ever weighed by its counts.
+
+A document's distinct windows are counted at each difference of THRESHOLDS; a logistic
+regression on the differences of the last round, each from dictionaries that have not
+seen the document, sets what counts as toxic. Its probability is the score.
 
 Null texts count as empty, and empty texts get a score. Words of any length are cut
-into windows of WIDEST bytes, and every word of every text counts. Ids may be null
-(never learnt from) or repeated (each row is scored); null labels are ignored; without
+into overlapping windows of WIDEST bytes, and every word of every text counts; order and
+repetition within a text don't. Ids may be null (never learnt from) or repeated (each row
+is scored; the row with the least text is learnt from); null labels are ignored; without
 any label, or with one class only, the score follows the share of that class. Other
 columns are left alone; an empty table gives an empty result.
 """
@@ -19,12 +27,11 @@ columns are left alone; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Callable, Iterator
+import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -32,23 +39,29 @@ from pyspark.sql import functions as F
 
 from blockspark.llm.common import held_out, map_batches
 from blockspark.llm.quality_classifier import labelled_sample
-from blockspark.session import shared_dir, ship
 
-#: Labelled documents to learn from, about; bytes of common words and of toxic words; the level; the chance a toxic word may have.
-SAMPLE, COMMON, TOXIC, LEVEL, CHANCE = 20_000, 1 << 16, 30_000, 13, 1e-7
-#: Markers before and after a window; the tail gives the matcher room to look ahead.
-BEFORE, AFTER, WIDEST = b"\n \n", b"\n \n" + bytes(range(128, 140)), 48
+#: Labelled documents to learn from, about; bytes of each dictionary, of ordinary windows that looked toxic, and the share of its training text that a toxic one may fill.
+SAMPLE, ORDINARY, TOXIC, DOUBTFUL, SHARE = 8_000, 1 << 17, 1 << 14, 1 << 16, 0.4
+#: Folds and rounds of training; the share of ordinary windows that stays below the cut.
+FOLDS, ROUNDS, USUAL = 8, 4, 0.998
+#: Compression: the level, the shortest match; the trainer's segment and string lengths, and bytes of a training sample.
+LEVEL, MATCH, SEGMENT, STRING, PIECE = 13, 4, 32, 6, 1000
+#: A run that both dictionaries end with and every window starts with, so that no block is ever stored raw; a tail that gives the matcher room to look ahead.
+BEFORE, AFTER = bytes(range(128, 192)) + b" ", b" " + bytes(range(192, 204))
+#: Bytes of a window, and how far the next window of a long word starts after it.
+WIDEST, STRIDE = 48, 24
 #: Windows count at each of these differences in length.
-THRESHOLDS = tuple(range(2, 12))
+THRESHOLDS = tuple(range(1, 11))
 #: Windows whose difference a task remembers.
 REMEMBERED = 400_000
+MARKS = b".,!?;:\"'()|#$%&*"
 
 
 @dataclass(frozen=True)
 class Model:
     """Contents of the dictionaries and the regression's weights."""
 
-    common: bytes
+    ordinary: bytes
     toxic: bytes
     centre: np.ndarray
     scale: np.ndarray
@@ -56,69 +69,76 @@ class Model:
 
 
 def windows(text: str | None) -> list[bytes]:
-    """Lower-case words without the marks around them, long ones in parts."""
+    """The distinct lower-case words without the marks around them, sorted; long ones in overlapping parts."""
     if not text:
         return []
-    words = [w.strip(b".,!?;:\"'()") for w in text.encode("utf-8", "surrogatepass").lower().split()]
+    words = {w.strip(MARKS) for w in text.lower().encode("utf-8", "surrogatepass").split()}
+    words.discard(b"")
     if max(map(len, words), default=0) > WIDEST:
-        words = [w[i : i + WIDEST] for w in words for i in range(0, max(1, len(w)), WIDEST)]
-    return words
+        words = {w[i : i + WIDEST] for w in words for i in range(0, max(1, len(w) - WIDEST + STRIDE), STRIDE)}
+    return sorted(words)
 
 
-class Differences(dict):
-    """Window to the bytes by which the toxic dictionary beats the ordinary one."""
+def train(texts: list[list[bytes]], size: int, share: float = 1.0) -> bytes:
+    """A dictionary of at most ``size`` bytes trained on documents' windows; too short a text is its own dictionary.
 
-    def __init__(self, common: bytes, toxic: bytes):
-        super().__init__()
-        parameters = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+    The trainer goes through its text part by part, takes the best of each, and stops where
+    several in a row bring nothing new. So a document's windows stay together (a rare
+    language gets its parts), while documents, and windows within one, are mixed.
+    """
+    mix = np.random.default_rng(20)
+    text = [texts[k][i] for k in mix.permutation(len(texts)).tolist() for i in mix.permutation(len(texts[k])).tolist()]
+    if not text:
+        return b""
+    raw = b" " + b" ".join(text) + b" "
+    size = int(min(size, max(256, len(raw) * share)))
+    piece = max(100, min(PIECE, len(raw) // 20))
+    try:
+        return zstandard.train_dictionary(size, [raw[i : i + piece] for i in range(0, len(raw), piece)], k=SEGMENT, d=STRING, f=20, accel=1, level=3).as_bytes()
+    except zstandard.ZstdError:
+        return raw[-size:]
 
-        def compressor(content: bytes) -> Callable[[bytes], bytes]:
-            if len(content) < 8:
-                return zstandard.ZstdCompressor(compression_params=parameters).compress
-            held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            held.precompute_compress(compression_params=parameters)
-            return zstandard.ZstdCompressor(dict_data=held, compression_params=parameters).compress
 
-        self.ordinary, self.toxic = compressor(common), compressor(common + toxic)
+class Lengths:
+    """Compressed lengths of windows with one dictionary."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        window = BEFORE + word + AFTER
-        self[word] = d = len(self.ordinary(window)) - len(self.toxic(window))
-        return d
+    def __init__(self, content: bytes, threads: int = 0):
+        held = zstandard.ZstdCompressionDict(content + BEFORE, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        parameters = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=128, dict_size=ORDINARY, min_match=MATCH, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        held.precompute_compress(compression_params=parameters)
+        self.compressor, self.threads = zstandard.ZstdCompressor(dict_data=held, compression_params=parameters), threads
 
+    def __call__(self, some: list[bytes]) -> np.ndarray:
+        out = np.zeros(len(some), np.int32)
+        for s in range(0, len(some), 50_000):
+            held = self.compressor.multi_compress_to_buffer([BEFORE + w + AFTER for w in some[s : s + 50_000]], threads=self.threads)
+            out[s : s + len(held)] = [len(held[i]) for i in range(len(held))]
+        return out
 
-def shape(text: str | None, differences: Differences) -> list[float]:
-    """Logarithms of the windows at each threshold and of all, and the largest difference."""
-    d = np.fromiter(map(differences.__getitem__, windows(text)), np.int32)
-    if not len(d):
-        return [0.0] * (len(THRESHOLDS) + 2)
-    counts = np.bincount(np.clip(d, 0, THRESHOLDS[-1]), minlength=THRESHOLDS[-1] + 1)[::-1].cumsum()[::-1]
-    return [*np.log1p(counts[THRESHOLDS[0] :]).tolist(), math.log1p(len(d)), float(min(d.max(), 15))]
 
+class Differences(dict):
+    """Window to the bytes by which the toxic dictionary shortens it; kept for REMEMBERED windows."""
 
-def chance(toxic: int, ordinary: int, share: float) -> float:
-    """Probability that a word meets at least ``toxic`` toxic documents of all it occurs in."""
-    n = toxic + ordinary
-    log = lambda k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log(1 - share)
-    return sum(math.exp(log(k)) for k in range(toxic, min(n, toxic + 60) + 1))
+    def __init__(self, ordinary: bytes, toxic: bytes, threads: int = 0):
+        super().__init__()
+        self.alone, self.both = Lengths(ordinary, threads), Lengths(ordinary + toxic, threads)
 
+    def prepare(self, texts: list[list[bytes]]) -> None:
+        new = list(set(chain.from_iterable(texts)) - self.keys())
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = list(set(chain.from_iterable(texts)))
+        if new:
+            self.update(zip(new, (self.alone(new) - self.both(new)).tolist(), strict=True))
 
-def word_counts(sample: DataFrame) -> DataFrame:
-    """(word, toxic, ordinary): documents of each class in which a word occurs."""
+    def of(self, some: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, some), np.int64, len(some))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            toxic: Counter[bytes] = Counter()
-            ordinary: Counter[bytes] = Counter()
-            for text, y in zip(frame["text"], frame["y"], strict=True):
-                (toxic if y else ordinary).update(set(windows(text)))
-            words = list(toxic.keys() | ordinary.keys())
-            yield pd.DataFrame({"word": words, "toxic": [toxic[w] for w in words], "ordinary": [ordinary[w] for w in words]})
 
-    ship(sample.sparkSession)
-    return sample.select("text", "y").mapInPandas(run, "word binary, toxic long, ordinary long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+def shape(d: np.ndarray) -> list[float]:
+    """Logarithms of the windows at each threshold and of all, and the largest difference."""
+    counts = np.bincount(np.clip(d, 0, THRESHOLDS[-1]), minlength=THRESHOLDS[-1] + 1)[::-1].cumsum()[::-1]
+    return [*np.log1p(counts[THRESHOLDS[0] :]).tolist(), math.log1p(len(d)), float(min(d.max(initial=0), 15))]
 
 
 def regression(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,37 +153,60 @@ def regression(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.nd
     return centre, scale, w
 
 
+def learn(texts: list[list[bytes]], y: np.ndarray, threads: int = -1) -> Model:
+    """Dictionaries and weights from the windows of labelled documents."""
+    wide = len(THRESHOLDS) + 2
+    if not len(texts):
+        return Model(b"", b"", np.zeros(wide), np.ones(wide), np.zeros(wide + 1))
+    fold = np.array([zlib.crc32(b" ".join(t)) % FOLDS for t in texts])
+    plain: dict[int, bytes] = {}
+    toxic: list[list[bytes]] = [t if k else [] for t, k in zip(texts, y, strict=True)]
+    doubtful: list[set[bytes]] = [set() for _ in texts]
+    found = [np.zeros(len(t), np.int64) for t in texts]
+
+    def dictionaries(f: int) -> tuple[bytes, bytes]:
+        """Those of all folds but ``f``."""
+        use = np.flatnonzero(fold != f)
+        if f not in plain:
+            plain[f] = train([texts[k] for k in use if not y[k]], ORDINARY)
+        return train([sorted(doubtful[k]) for k in use], DOUBTFUL, 0.5) + plain[f], train([toxic[k] for k in use], TOXIC, SHARE)
+
+    for _ in range(ROUNDS):
+        for f in range(FOLDS):
+            here = np.flatnonzero(fold == f)
+            differences = Differences(*dictionaries(f), threads)
+            for s in range(0, len(here), 1000):
+                part = here[s : s + 1000]
+                differences.prepare([texts[k] for k in part])
+                for k in part:
+                    found[k] = differences.of(texts[k])
+        cut = max(0, int(np.quantile(np.concatenate([np.zeros(1, np.int64), *[found[k] for k in np.flatnonzero(y == 0)]]), USUAL)))
+        for k, t in enumerate(texts):
+            over = [t[i] for i in np.flatnonzero(found[k] > cut)]
+            if y[k]:
+                toxic[k] = over
+            else:
+                doubtful[k].update(over)
+    x = np.array([shape(d) for d in found])
+    return Model(*dictionaries(-1), *regression(x, y.astype(float)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SAMPLE) -> Model:
-    """Dictionaries and weights from a sample whose bound is ``size``; what reaches the driver is bounded by it."""
-    shared_dir(docs.sparkSession)
-    sample = labelled_sample(docs, labels, label, size).checkpoint()
-    classes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_ordinary = classes.get(1, 0), classes.get(0, 0)
-    counts = word_counts(sample).checkpoint()
-    toxic: list[tuple[int, bytes]] = []
-    if n_toxic and n_ordinary:
-        share = n_toxic / (n_toxic + n_ordinary)
-        for r in counts.filter((F.col("toxic") >= 4) & (F.col("toxic") * n_ordinary > 4 * F.col("ordinary") * n_toxic)).collect():
-            if chance(r["toxic"], r["ordinary"], share) < CHANCE:
-                toxic.append((r["toxic"], bytes(r["word"])))
-    named = {w for _, w in toxic}
-    usual = counts.filter("ordinary > 0").orderBy(F.desc("ordinary"), "word").limit(COMMON // 4 + len(named)).collect()
-    # the commonest words come last, where they are cheapest to reach
-    common = b"".join(BEFORE + bytes(r["word"]) for r in reversed(usual) if bytes(r["word"]) not in named)[-COMMON:]
-    sharp = (b"".join(BEFORE + w for _, w in sorted(toxic)) + BEFORE)[-TOXIC:] if toxic else b""
-    blank = Model(common, sharp, np.zeros(len(THRESHOLDS) + 2), np.ones(len(THRESHOLDS) + 2), np.zeros(len(THRESHOLDS) + 3))
-
-    def run(batch: pa.RecordBatch, held: Differences) -> list:
-        return [batch.column(2), [shape(t, held) for t in batch.column(1).to_pylist()]]
-
-    rows = map_batches(sample.select("doc_id", "text", "y"), run, "y int, x array<double>", text=1, setup=lambda: Differences(common, sharp)).toPandas()
-    if not len(rows):
-        return blank
-    return Model(common, sharp, *regression(np.array(rows["x"].tolist(), dtype=float), rows["y"].to_numpy(dtype=float)))
+    """Dictionaries and weights from a sample of about ``size`` documents; only its windows reach the driver."""
+
+    def run(batch: pa.RecordBatch) -> list:
+        return [batch.column(2), [windows(t) for t in batch.column(1).to_pylist()]]
+
+    rows = map_batches(labelled_sample(docs, labels, label, size).select("doc_id", "text", "y"), run, "y int, w array<binary>", text=1).toArrow()
+    # copies count once; the order is that of the windows, so it doesn't depend on the partitions
+    seen = sorted({(tuple(w), y) for y, w in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True)})
+    return learn([list(w) for w, _ in seen], np.array([y for _, y in seen], dtype=np.int64))
 
 
 def probabilities(texts: list[str | None], model: Model, differences: Differences) -> np.ndarray:
-    x = np.array([shape(t, differences) for t in texts], dtype=float).reshape(len(texts), len(THRESHOLDS) + 2)
+    held = [windows(t) for t in texts]
+    differences.prepare(held)
+    x = np.array([shape(differences.of(w)) for w in held], dtype=float).reshape(len(texts), len(THRESHOLDS) + 2)
     return 1 / (1 + np.exp(-np.clip((x - model.centre) / model.scale @ model.weights[:-1] + model.weights[-1], -30, 30)))
 
 
@@ -174,7 +217,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         return [batch.column(0), pa.array(probabilities(batch.column(1).to_pylist(), model, differences))]
 
     picked = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
-    return map_batches(picked, run, f"`{id_col}` {picked.schema[0].dataType.simpleString()}, score double", text=1, setup=lambda: Differences(model.common, model.toxic))
+    return map_batches(picked, run, f"`{id_col}` {picked.schema[0].dataType.simpleString()}, score double", text=1, setup=lambda: Differences(model.ordinary, model.toxic))
 
 
 def digest(scored: DataFrame) -> DataFrame:
