@@ -1,19 +1,30 @@
-"""Chunks of ordered blocks, as one fold per document over numbers and short labels.
+"""Chunks of ordered blocks, as one linear fold per document over numbers and short labels.
 
 An open chunk is always a run of neighbouring blocks, and overlap keeps a suffix of it,
-so the fold's state is the run's start, its tokens, the section and the closed runs.
-Text never enters the fold; it is joined to the closed runs afterwards.
+so the fold's state is the run's start and the section; tokens are prefix sums, in which
+the overlap's start is searched by halving. The fold runs over Arrow batches, as a fold
+of expressions copies the list of closed runs at each step. Text never enters it; it is
+joined to the closed runs afterwards.
+
+Blocks without a document id are one document; blocks without text count as blank;
+an empty table has no chunk; other columns are left alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from bisect import bisect_left
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockspark.config import ChunkingConfig
 from blockspark.functions import text as T
+from blockspark.session import ship
 
-RUN = "struct<s:int,e:int,sec:string>"
+#: Documents whose arrays are turned into Python objects at a time.
+SLICE = 64
 
 
 def lines_as_blocks(docs: DataFrame, per_page: int = 20, title_every: int = 7) -> DataFrame:
@@ -27,6 +38,39 @@ def lines_as_blocks(docs: DataFrame, per_page: int = 20, title_every: int = 7) -
     )
 
 
+def _lists(column: pa.Array) -> tuple[list, list[int]]:
+    """The values of a list column one after another, and where each row's start."""
+    ends = column.offsets.to_pylist()
+    return column.flatten().to_pylist(), [e - ends[0] for e in ends]
+
+
+def fold(tokens: list[int], heads: list[bool], blanks: list[bool], labels: list[str | None], config: ChunkingConfig) -> list[tuple[int, int, str | None]]:
+    """(first block, last block, section) of each chunk of a document."""
+    before = [0]
+    for n in tokens:
+        before.append(before[-1] + n)
+
+    def overlap(s: int, n: int) -> int:
+        """First block of the longest suffix of blocks s .. n-1 with few enough tokens."""
+        return n if config.overlap_tokens <= 0 else max(s, min(n, bisect_left(before, before[n] - config.overlap_tokens, 0, len(tokens))))
+
+    out: list[tuple[int, int, str | None]] = []
+    s, section = 0, None
+    for i, head in enumerate(heads):
+        if head:
+            if s < i and before[i] - before[s] >= config.min_chunk_size:
+                out.append((s, i - 1, section))
+                s = overlap(s, i)
+            section = labels[i]
+        held = before[i + 1] - before[s]
+        if held >= config.chunk_size and (config.respect_paragraphs and blanks[i] or held >= config.max_chunk_size):
+            out.append((s, i, section))
+            s = overlap(s, i + 1)
+    if s < len(tokens):
+        out.append((s, len(tokens) - 1, section))
+    return out
+
+
 def chunk_runs(blocks: DataFrame, config: ChunkingConfig = ChunkingConfig()) -> DataFrame:
     """(doc_id, k, s, e, section): each chunk as a run of block numbers.
 
@@ -34,52 +78,26 @@ def chunk_runs(blocks: DataFrame, config: ChunkingConfig = ChunkingConfig()) ->
     """
     said = T.content()
     header = F.col("type").isin("title", "section_header") if config.respect_sections else F.lit(False)
-    thin = blocks.select("doc_id", F.struct(F.col("pos").alias("i"), T.tokens(said, config.token_method).alias("tok"), F.coalesce(header, F.lit(False)).alias("head"), T.blank(said).alias("blank"), F.when(header, T.strip(said)).alias("label")).alias("b"))
+    thin = blocks.select("doc_id", F.struct(F.col("pos").alias("i"), T.tokens(said, config.token_method).cast("long").alias("tok"), F.coalesce(header, F.lit(False)).alias("head"), T.blank(said).alias("blank"), F.when(header, T.strip(said)).alias("label")).alias("b"))
     docs = thin.groupBy("doc_id").agg(F.array_sort(F.collect_list("b")).alias("b"))
-    # tokens before each block: where an overlap may start is where few enough are left
-    before = F.aggregate(
-        "b", F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("out")),
-        lambda a, x: F.struct((a["sum"] + x["tok"]).alias("sum"), F.concat(a["out"], F.array(a["sum"])).alias("out")), lambda a: a["out"],
-    )
-    docs = docs.withColumn("before", before)
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("s"), F.lit(0).cast("long").alias("sum"), F.lit(None).cast("string").alias("sec"), F.array().cast(f"array<{RUN}>").alias("out"))
-
-    def overlap(s: Column, n: Column, total: Column) -> Column:
-        """First block of the longest suffix of blocks s .. n-1 with few enough tokens."""
-        if config.overlap_tokens <= 0:
-            return n
-        return F.greatest(s, F.least(n, F.size(F.filter("before", lambda p: p < total - config.overlap_tokens))))
-
-    def held(s: Column, n: Column, total: Column) -> Column:
-        return F.when(s < n, total - F.coalesce(F.get(F.col("before"), s), F.lit(0))).otherwise(F.lit(0).cast("long"))
-
-    def step(acc: Column, x: Column) -> Column:
-        close = x["head"] & (acc["s"] < acc["n"]) & (held(acc["s"], acc["n"], acc["sum"]) >= config.min_chunk_size)
-        first = F.struct(
-            F.when(close, overlap(acc["s"], acc["n"], acc["sum"])).otherwise(acc["s"]).alias("s"),
-            F.when(x["head"], x["label"]).otherwise(acc["sec"]).alias("sec"),
-            F.when(close, F.concat(acc["out"], F.array(F.struct(acc["s"].alias("s"), (acc["n"] - 1).alias("e"), acc["sec"].alias("sec"))))).otherwise(acc["out"]).alias("out"),
-        )
-
-        def add(f: Column) -> Column:
-            n, total = acc["n"] + 1, acc["sum"] + x["tok"]
-            k = held(f["s"], n, total)
-            full = (k >= config.chunk_size) & ((x["blank"] if config.respect_paragraphs else F.lit(False)) | (k >= config.max_chunk_size))
-            return F.struct(
-                n.alias("n"),
-                F.when(full, overlap(f["s"], n, total)).otherwise(f["s"]).alias("s"),
-                total.alias("sum"),
-                f["sec"].alias("sec"),
-                F.when(full, F.concat(f["out"], F.array(F.struct(f["s"].alias("s"), acc["n"].alias("e"), f["sec"].alias("sec"))))).otherwise(f["out"]).alias("out"),
-            )
-
-        return T.bind(first, add)
-
-    def finish(acc: Column) -> Column:
-        return F.when(acc["s"] < acc["n"], F.concat(acc["out"], F.array(F.struct(acc["s"].alias("s"), (acc["n"] - 1).alias("e"), acc["sec"].alias("sec"))))).otherwise(acc["out"])
-
-    runs = docs.select("doc_id", F.aggregate("b", start, step, finish).alias("r"))
-    return runs.select("doc_id", F.posexplode("r").alias("k", "r")).select("doc_id", "k", "r.s", "r.e", F.col("r.sec").alias("section"))
+    docs = docs.select("doc_id", *[F.col(f"b.{c}").alias(c) for c in ("tok", "head", "blank", "label")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                (tok, ends), (head, _), (blank, _), (label, _) = (_lists(part.column(c)) for c in (1, 2, 3, 4))
+                rows, ks, found = [], [], []
+                for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+                    runs = fold(tok[a:b], head[a:b], blank[a:b], label[a:b], config)
+                    rows += [i] * len(runs)
+                    ks += range(len(runs))
+                    found += runs
+                s, e, section = zip(*found, strict=True) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), pa.array(ks, pa.int32()), pa.array(s, pa.int32()), pa.array(e, pa.int32()), pa.array(section, pa.string())], names=["doc_id", "k", "s", "e", "section"])
+
+    ship(blocks.sparkSession)
+    return docs.mapInArrow(run, f"doc_id {docs.schema[0].dataType.simpleString()}, k int, s int, e int, section string")
 
 
 def chunk_blocks(blocks: DataFrame, config: ChunkingConfig = ChunkingConfig()) -> DataFrame:
@@ -99,38 +117,56 @@ def chunk_blocks(blocks: DataFrame, config: ChunkingConfig = ChunkingConfig()) -
     )
 
 
+def fold_lines(words: list[int], levels: list[int], titles: list[str], bars: list[bool], images: list[bool], blanks: list[bool], chunk_size: int, heading_min: int, table_min: int) -> list[tuple[int, int, str]]:
+    """(first line, last line, section) of each chunk of a markdown text."""
+    out: list[tuple[int, int, str]] = []
+    s = held = 0
+    section, in_table = "Introduction", False
+    for i, (n, level, bar) in enumerate(zip(words, levels, bars, strict=True)):
+        head, table = 1 <= level <= 2, bar and not level
+        if s < i and (head and held > heading_min or table and not in_table and held > table_min):
+            out.append((s, i - 1, section))
+            s, held = i, 0
+        held += n
+        if head:
+            section = titles[i]
+        in_table = bar
+        if not level and not bar and not images[i] and blanks[i] and held >= chunk_size:
+            out.append((s, i, section))
+            s, held, in_table = i + 1, 0, False
+    if s < len(words):
+        out.append((s, len(words) - 1, section))
+    return out
+
+
 def legacy_chunks(markdown: DataFrame, chunk_size: int = 1000, heading_min: int = 100, table_min: int = 500) -> DataFrame:
     """(doc_id, k, section, content) of whole markdown texts, counted in words.
 
     Level one and two headings and the start of a table close a chunk that is long
-    enough; a blank line closes one that reached the size.
+    enough; a blank line closes one that reached the size. Texts stay where they are:
+    nothing is shuffled.
     """
-    lines = markdown.select("doc_id", F.posexplode(F.split("markdown", "\n")).alias("i", "line"))
-    heading = F.regexp_extract("line", r"^(#+)(?U:\s)+(.+)$", 1)
-    row = F.struct(
-        "i", T.words("line").alias("n"), (F.length(heading).between(1, 2)).alias("head"), F.regexp_extract("line", r"^#+(?U:\s)+(.+)$", 1).alias("title"),
-        (F.length(heading).between(3, 1000)).alias("low"), T.strip("line").startswith("|").alias("bar"), T.strip("line").startswith("![").alias("image"), T.blank("line").alias("blank"),
-    )
-    docs = lines.groupBy("doc_id").agg(F.array_sort(F.collect_list(row)).alias("b"))
-    start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("k"), F.lit("Introduction").alias("sec"), F.lit(False).alias("bar"), F.array().cast(f"array<{RUN}>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        open_ = acc["s"] < x["i"]
-        table = x["bar"] & ~x["head"] & ~x["low"]
-        before = open_ & ((x["head"] & (acc["k"] > heading_min)) | (table & ~acc["bar"] & (acc["k"] > table_min)))
-        s = F.when(before, x["i"]).otherwise(acc["s"])
-        k = F.when(before, F.lit(0)).otherwise(acc["k"]) + x["n"]
-        sec = F.when(x["head"], x["title"]).otherwise(acc["sec"])
-        plain = ~x["head"] & ~x["low"] & ~x["bar"] & ~x["image"]
-        after = plain & x["blank"] & (k >= chunk_size)
-        closed = F.when(before, F.concat(acc["out"], F.array(F.struct(acc["s"].alias("s"), (x["i"] - 1).alias("e"), acc["sec"].alias("sec"))))).otherwise(acc["out"])
-        return F.struct(
-            F.when(after, x["i"] + 1).otherwise(s).alias("s"), F.when(after, F.lit(0)).otherwise(k).alias("k"), sec.alias("sec"), (x["bar"] & ~after).alias("bar"),
-            F.when(after, F.concat(closed, F.array(F.struct(s.alias("s"), x["i"].alias("e"), sec.alias("sec"))))).otherwise(closed).alias("out"),
-        )
-
-    n = F.size("b")
-    runs = docs.select("doc_id", F.aggregate("b", start, step, lambda a: F.when(a["s"] < n, F.concat(a["out"], F.array(F.struct(a["s"].alias("s"), (n - 1).alias("e"), a["sec"].alias("sec"))))).otherwise(a["out"])).alias("r"))
-    runs = runs.select("doc_id", F.posexplode("r").alias("k", "r"))
-    joined = runs.join(markdown.select("doc_id", F.split("markdown", "\n").alias("lines")), "doc_id")
-    return joined.select("doc_id", "k", F.col("r.sec").alias("section"), F.array_join(F.slice("lines", F.col("r.s") + 1, F.col("r.e") - F.col("r.s") + 1), "\n").alias("content"))
+    each = lambda f: F.transform("lines", f)
+    lines = markdown.select("doc_id", F.split("markdown", "\n").alias("lines"))
+    marked = lines.select(
+        "doc_id", "lines", each(T.words).alias("n"), each(lambda x: F.length(F.regexp_extract(x, r"^(#+)(?U:\s)+(.+)$", 1))).alias("level"), each(lambda x: F.regexp_extract(x, r"^#+(?U:\s)+(.+)$", 1)).alias("title"),
+        each(lambda x: T.strip(x).startswith("|")).alias("bar"), each(lambda x: T.strip(x).startswith("![")).alias("image"), each(T.blank).alias("blank"),
+    ).filter(F.col("lines").isNotNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                (line, ends), *rest = (_lists(c) for c in part.columns[1:])
+                rows, ks, sections, contents = [], [], [], []
+                for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+                    text = line[a:b]
+                    for k, (s, e, section) in enumerate(fold_lines(*[values[a:b] for values, _ in rest], chunk_size, heading_min, table_min)):
+                        rows.append(i)
+                        ks.append(k)
+                        sections.append(section)
+                        contents.append("\n".join(text[s : e + 1]))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows, pa.int64())), pa.array(ks, pa.int32()), pa.array(sections, pa.string()), pa.array(contents, pa.string())], names=["doc_id", "k", "section", "content"])
+
+    ship(markdown.sparkSession)
+    return marked.mapInArrow(run, f"doc_id {marked.schema[0].dataType.simpleString()}, k int, section string, content string")

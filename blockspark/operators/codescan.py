@@ -38,6 +38,8 @@ def findings(files: DataFrame) -> DataFrame:
     return found.select("path", "line", "f.message", "f.severity", "code")
 
 
+#: What Python's parser raises on text that is no program, however long or deeply nested.
+UNPARSED = (SyntaxError, ValueError, MemoryError, RecursionError)
 METRICS = "path string, lines long, functions long, classes long, imports long, long_functions array<string>, syntax_error boolean"
 
 
@@ -61,7 +63,7 @@ def metrics(files: DataFrame, longest: int = 50) -> DataFrame:
                                 long.append(node.name)
                         classes += isinstance(node, ast.ClassDef)
                         imports += isinstance(node, ast.Import | ast.ImportFrom)
-                except (SyntaxError, ValueError):
+                except UNPARSED:
                     functions = classes = imports = 0
                     wrong = True
                 rows.append((path, content.count("\n") + 1, functions, classes, imports, long, wrong))
@@ -91,7 +93,7 @@ def structure(files: DataFrame) -> DataFrame:
                     imports = [name for n in every for name in ([a.name for a in n.names] if isinstance(n, ast.Import) else [str(n.module)] if isinstance(n, ast.ImportFrom) else [])]
                     classes = [n.name for n in every if isinstance(n, ast.ClassDef)]
                     functions = [n.name for n in every if isinstance(n, ast.FunctionDef) and (n.name == "__init__" or n.name[:1] != "_")]
-                except (SyntaxError, ValueError):
+                except UNPARSED:
                     pass
                 rows.append((path, imports, classes, functions, said))
             yield pd.DataFrame(rows, columns=["path", "imports", "classes", "functions", "docstring"])

@@ -66,10 +66,8 @@ def translated(texts: DataFrame, translations: DataFrame, root: str, two_languag
 
 
 def reviewed(files: DataFrame) -> DataFrame:
-    """One row (files, report): the reviews of all files below one heading, by path."""
-    rows = codescan.review(files)
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "report"))), lambda r: r["report"]), "\n\n---\n\n")
-    return rows.agg(F.count("*").alias("files"), F.concat(F.lit("# Code review\n\n"), text).alias("report"))
+    """(path, report): the review of each file, a row each; a reader joins those it wants by path."""
+    return codescan.review(files).orderBy("path")
 
 
 def language_of(texts: DataFrame) -> DataFrame:

@@ -337,4 +337,4 @@ def test_runs(spark):
     out = runs.translated(texts, spark.createDataFrame([("in/x.md", 0, "eins")], "doc_id string, para_idx long, translation string"), "in").first()
     assert (out.path, out.content) == ("in_translated/x.md", "# H\neins")
     assert runs.language_of(texts).first().target == "ko"
-    assert runs.reviewed(texts).first().files == 1
+    assert [r.path for r in runs.reviewed(texts).collect()] == [r.path for r in texts.orderBy('path').collect()]
