@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable
 
 import pandas as pd
@@ -65,6 +67,36 @@ def tokens(c: Column | str, method: str = "simple") -> Column:
     return (cjk / F.lit(1.5) + (F.length(text) - cjk) / F.lit(4.0)).cast("int")
 
 
+#: Runs of white space from this length on are handed to a byte-pair encoder apart: a pattern that looks ahead of each run overflows on longer ones.
+LONG_SPACE = 10_000
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LONG_RUN = re.compile(f"[{_WHITE}]{{{LONG_SPACE},}}")
+
+
+def encoder_parts(text: str, newlines: bool) -> list[tuple[bool, str]]:
+    """A text cut where byte-pair patterns cut it too: (whether it is one piece, part).
+
+    The last character of a run of white space goes with what follows it. newlines: the
+    pattern also ends a piece after the last line end of a run, and lets marks take the
+    line ends behind them.
+    """
+    if len(text) < LONG_SPACE:
+        return [(False, text)]
+    out: list[tuple[bool, str]] = []
+    past = 0
+    for m in _LONG_RUN.finditer(text):
+        start, end = m.span()
+        if newlines and start and unicodedata.category(text[start - 1])[0] not in "LN":
+            while start < end and text[start] in "\r\n":
+                start += 1
+        out.append((False, text[past:start]))
+        last = max(text.rfind("\n", start, end), text.rfind("\r", start, end)) + 1 if newlines else 0
+        stop = end if end == len(text) else max(start, last, end - 1)
+        out += [(True, text[i:j]) for i, j in ((start, last), (max(start, last), stop)) if i < j]
+        past = stop
+    return [*out, (False, text[past:])]
+
+
 def bpe_tokens(c: Column | str, ranks: str | None = None) -> Column:
     """Tokens by a byte-pair vocabulary file; without one, the simple estimate.
 
@@ -82,7 +114,8 @@ def bpe_tokens(c: Column | str, ranks: str | None = None) -> Column:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         pattern = r"(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"
         encoding = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        return texts.map(lambda t: len(encoding.encode_ordinary(t or "")))
+        count_of = lambda one, part: len(encoding._encode_single_piece(part)) if one else len(encoding.encode_ordinary(part))
+        return texts.map(lambda t: sum(count_of(*p) for p in encoder_parts(t or "", True)))
 
     return counted(col(c))
 
