@@ -15,7 +15,8 @@ fails if a partition's number is not what it was. A shard is written aside and r
 when whole, so repeated or lost tasks leave whole files only.
 
 Null and empty texts make one sequence of one end mark. Ids may be null or repeated.
-Texts of any length are taken whole; other columns are left alone; an empty table makes
+Texts of any length are taken whole, and long runs of white space are encoded apart, as
+the library's pattern overflows on them; other columns are left alone; an empty table makes
 no shard.
 """
 
@@ -33,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blockspark.functions.text import LONG_SPACE, encoder_parts
 from blockspark.llm.common import slices
 from blockspark.session import ship
 
@@ -57,13 +59,21 @@ class Encoder:
         self.code = "H" if self.type.itemsize == 2 else "I"
         self.end_bytes = np.array([self.end], self.type).tobytes()
 
+    def ids(self, text: str) -> list[int]:
+        if len(text) < LONG_SPACE:
+            return self.encoding.encode_ordinary(text)
+        out: list[int] = []
+        for one, part in encoder_parts(text, False):
+            out += self.encoding._encode_single_piece(part) if one else self.encoding.encode_ordinary(part)
+        return out
+
     def count(self, text: str | None) -> int:
         """Ids of a text, the end mark included."""
-        return 1 + (len(self.encoding.encode_ordinary(text)) if text else 0)
+        return 1 + (len(self.ids(text)) if text else 0)
 
     def encode(self, text: str | None) -> bytes:
         """All ids of a text and the end mark."""
-        return array(self.code, self.encoding.encode_ordinary(text)).tobytes() + self.end_bytes if text else self.end_bytes
+        return array(self.code, self.ids(text)).tobytes() + self.end_bytes if text else self.end_bytes
 
 
 @lru_cache(maxsize=2)

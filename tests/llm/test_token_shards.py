@@ -56,3 +56,26 @@ def test_edges(spark, tmp_path):
     assert sorted((r.doc_id or 0, r.part, r.n_tokens) for r in rows)[:2] == [(0, 0, 1), (1, 0, 1)]
     assert len({r.slot for r in rows}) == len(rows) == 2 + 2 * 10
     assert T.write_shards(df.limit(0), f"file://{tmp_path}/b").count() == 0
+
+
+def test_long_runs_of_white_space(monkeypatch):
+    import random
+    import re
+    import time
+
+    from blockspark.functions import text as X
+
+    held = T.encoder(T.VOCABULARY)
+    start = time.time()
+    for text in (" " * 1_000_000, "x" + "\n" * 1_000_000 + " y", " \t" * 300_000):
+        ids = held.ids(text)
+        assert b"".join(held.encoding.decode_single_token_bytes(i) for i in ids).decode() == text
+    assert time.time() - start < 60
+    # cut at shorter runs, the ids are those of the text as a whole
+    monkeypatch.setattr(T, "LONG_SPACE", 2)
+    monkeypatch.setattr(X, "LONG_SPACE", 2)
+    monkeypatch.setattr(X, "_LONG_RUN", re.compile(f"[{X._WHITE}]{{2,}}"))
+    r = random.Random(3)
+    for _ in range(5000):
+        text = "".join(r.choice([" ", " ", "\n", "\r", "\t", "a", "Ab", "1", "!", "'s", "é", "\x1c", "\u3000", "漢"]) for _ in range(r.randint(0, 14)))
+        assert held.ids(text) == held.encoding.encode_ordinary(text)
