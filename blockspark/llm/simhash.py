@@ -28,8 +28,6 @@ from blockspark.session import shared_dir
 
 #: Bits that may differ, and the widths of the blocks.
 DISTANCE, WIDTHS = 3, (11, 11, 11, 11, 10, 10)
-#: Rounds after which the component search gives up with an error; each at least halves the depth.
-MOST_ROUNDS = 60
 
 
 def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> bytes:
@@ -47,15 +45,15 @@ def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> bytes:
     return np.packbits(2 * ones > n).tobytes()
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
+    """(id, fp): the fingerprint as a signed long; and ``key``, a long that is carried along, if one is given."""
 
     def run(batch: pa.RecordBatch) -> list:
         bits = b"".join(map(fingerprint, batch.column(1).to_pylist()))
-        return [batch.column(0), pa.array(np.frombuffer(bits, ">u8").astype(np.uint64).view(np.int64))]
+        return [batch.column(0), pa.array(np.frombuffer(bits, ">u8").astype(np.uint64).view(np.int64)), *batch.columns[2:]]
 
-    picked = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
-    return map_batches(picked, run, f"`{id_col}` {picked.schema[0].dataType.simpleString()}, fp long", text=1)
+    picked = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"), *([] if key is None else [key.alias("key")]))
+    return map_batches(picked, run, f"`{id_col}` {picked.schema[0].dataType.simpleString()}, fp long" + ("" if key is None else ", key long"), text=1)
 
 
 def masks() -> list[int]:
@@ -93,7 +91,7 @@ def components(edges: DataFrame) -> DataFrame:
     last = sign(held)
     if not last[0]:
         return held.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    for _ in range(MOST_ROUNDS):
+    while True:
         both = held.unionByName(held.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = salted(both.filter("v > u"), least, ["u"], how="inner").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.filter("m < u").select("u", F.col("m").alias("v"))).distinct()
@@ -103,7 +101,13 @@ def components(edges: DataFrame) -> DataFrame:
         if (now := sign(held)) == last:
             return held.select(F.col("u").alias("node"), F.col("v").alias("root"))
         last = now
-    raise RuntimeError(f"components: not settled after {MOST_ROUNDS} rounds")
+
+
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,13 +128,22 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id.
+    """``docs`` with one row of each component: that of the smallest id, and of the least hash of the text among rows of that id.
 
-    Rows without an id cannot be named and all stay.
+    A row is named by its id and its text's hash, so unlike texts of one id are told
+    apart; of rows alike in both one stays. Rows without an id cannot be named and all stay.
     """
     from pyspark.sql import Window
 
-    stay = near_duplicates(docs, id_col, text_col).filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    named = docs.filter(F.col(id_col).isNotNull()).join(stay, id_col, "left_semi")
-    named = named.withColumn("__nth", F.row_number().over(Window.partitionBy(id_col).orderBy(id_col))).filter("__nth = 1").select(docs.columns)
+    shared_dir(docs.sparkSession)
+    key, nth = _fresh(docs, "__key"), _fresh(docs, "__nth")
+    hashed = lambda c: F.xxhash64(F.coalesce(F.col(c).cast("string"), F.lit("")))
+    prints = fingerprints(docs, id_col, text_col, hashed(text_col)).checkpoint()
+    row = F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), F.col("key")))
+    classes = prints.groupBy("fp").agg(F.count("*").alias("n"), F.min(row).alias("least")).checkpoint()
+    found = links(classes.select("fp", "n")).checkpoint()
+    rooted = classes.join(components(found).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).filter("least IS NOT NULL").select(F.col("least.id").alias(id_col), F.col("least.key").alias(key)).distinct()
+    named = docs.filter(F.col(id_col).isNotNull()).withColumn(key, hashed(text_col)).join(stay, [id_col, key], "left_semi")
+    named = named.withColumn(nth, F.row_number().over(Window.partitionBy(id_col, key).orderBy(key))).filter(F.col(nth) == 1).select(docs.columns)
     return named.unionByName(docs.filter(F.col(id_col).isNull()))

@@ -83,3 +83,14 @@ def test_edges(spark):
     assert sorted((r.doc_id or -1) for r in S.keep_one(df).collect()) == [-1, 3, 8, 9]
     assert S.near_duplicates(df.limit(0)).count() == 0
     assert S.keep_one(df).columns == df.columns
+
+
+def test_keep_one_tells_texts_of_one_id_apart(spark):
+    r = random.Random(11)
+    a, b = (" ".join(r.choice("abcdefghijklmnop") * r.randint(1, 9) for _ in range(80)) for _ in "ab")
+    rows = [(1, a, 7), (5, a, 8), (5, b, 9), (5, b, 9), (None, a, 1)]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string, __nth int").repartition(parts)
+        got = S.keep_one(df)
+        assert got.columns == df.columns
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, a, 7), (5, b, 9), (None, a, 1)], key=repr)
