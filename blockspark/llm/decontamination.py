@@ -1,7 +1,7 @@
 """Benchmark decontamination: greedy string tiling of documents against test items.
 
-Texts are runs of letters and digits in lower case. A seed is a run of MIN_MATCH tokens
-that an item holds; documents meet the items whose seeds they share. The tokens of an
+Texts are runs of letters and digits in lower case, scripts without spaces being cut
+into characters. A seed is a run of MIN_MATCH tokens that an item holds; documents meet the items whose seeds they share. The tokens of an
 item that any shared seed covers bound what tiles can cover, so pairs below the
 threshold go at once. For the others greedy string tiling marks the longest matches
 first and never uses a token twice, finding them by running Karp-Rabin hashes of
@@ -9,9 +9,10 @@ halving length. A pair whose tiles cover at least COVERAGE of the item is a leak
 whatever order its passages stand.
 
 The items are sent to the executors in blocks of at most BLOCK characters, each block
-being held against all documents; a larger table of items makes more blocks. Items
-that are null or shorter than a seed match nothing; null and empty documents match
-nothing; long documents are taken whole; repeated rows, of either table, are rows each.
+being held against all documents; a larger table of items makes more blocks, of which
+the driver holds one at a time. An item shorter than a seed leaks into a document that
+has it, and nothing else, on a line. Items that are null or without a token match
+nothing; null and empty documents match nothing; long documents are taken whole; repeated rows, of either table, are rows each.
 Ids may be null. Other columns are left alone; an empty table gives an empty result.
 """
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -32,7 +34,9 @@ from blockspark.llm.common import map_batches
 MIN_MATCH, COVERAGE, BLOCK = 4, 0.4, 32_000_000
 #: Length of the first search; it is halved down to MIN_MATCH.
 FIRST_SEARCH = 32
-_TOKEN = re.compile(r"\w+")
+#: Han, kana, Thai, Lao, Burmese and Khmer are written without spaces.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f"
+_TOKEN = re.compile(rf"[^\W{_UNSPACED}]+|[{_UNSPACED}]")
 _BASE, _PRIME = 1_000_003, (1 << 61) - 1
 
 
@@ -65,18 +69,30 @@ def tiles(pattern: list[int], text: list[int], least: int = MIN_MATCH, first: in
     free_p, free_t = [True] * len(pattern), [True] * len(text)
     found: list[tuple[int, int, int]] = []
     search = max(first, least)
+    whole_p, whole_t = np.array(pattern, dtype=np.int64), np.array(text, dtype=np.int64)
     while True:
-        table: dict[int, list[int]] = {}
+        places: dict[int, list[int]] = {}
         for place, value in _hashes(text, free_t, search):
-            table.setdefault(value, []).append(place)
+            places.setdefault(value, []).append(place)
+        table = {value: np.array(ts) for value, ts in places.items()}
+        open_p, open_t = np.append(free_p, False), np.append(free_t, False)
         queue: list[tuple[int, int, int]] = []
         for p, value in _hashes(pattern, free_p, search):
-            for t in table.get(value, ()):
-                k = 0
-                while p + k < len(pattern) and t + k < len(text) and pattern[p + k] == text[t + k] >= 0 and free_p[p + k] and free_t[t + k]:
-                    k += 1
-                if k >= search:
-                    queue.append((-k, p, t))
+            ts = table.get(value)
+            if ts is None:
+                continue
+            # a match that could begin further left is part of that one
+            if p and open_p[p - 1] and pattern[p - 1] >= 0:
+                ts = ts[~((ts > 0) & open_t[ts - 1] & (whole_t[ts - 1] == pattern[p - 1]))]
+            k = np.zeros(len(ts), np.int64)
+            going = np.arange(len(ts))
+            n = 0
+            while len(going) and p + n < len(pattern) and open_p[p + n] and pattern[p + n] >= 0:
+                at = ts[going] + n
+                going = going[open_t[np.minimum(at, len(text))] & (whole_t[np.minimum(at, len(text) - 1)] == whole_p[p + n])]
+                n += 1
+                k[going] = n
+            queue += [(-m, p, t) for t, m in zip(ts.tolist(), k.tolist(), strict=True) if m >= search]
         heapq.heapify(queue)
         if queue and -queue[0][0] > 2 * search:
             search = -queue[0][0]  # a much longer match exists: its like come first
@@ -108,6 +124,11 @@ class Index:
         words: dict[str, int] = {}
         self.items = [[words.setdefault(t, len(words) + 1) for t in tokens(text)] for _, text in items]
         self.words = words
+        #: items too short for a seed, by their tokens
+        self.short: dict[tuple[str, ...], list[int]] = {}
+        for i, (_, text) in enumerate(items):
+            if 0 < len(self.items[i]) < least:
+                self.short.setdefault(tuple(tokens(text)), []).append(i)
         places = [(seed, i, p) for i, item in enumerate(self.items) for p, seed in enumerate(self._seeds(np.array(item, dtype=np.int64)).tolist())]
         places.sort()
         rows = np.array(places, dtype=np.uint64).reshape(-1, 3)
@@ -130,6 +151,10 @@ class Index:
     def leaks(self, texts: list[str | None], coverage: float = COVERAGE) -> list[list[tuple[int, int, int, int]]]:
         """For each text its leaked items: (item, tokens covered, tiles, longest tile)."""
         found: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
+        if self.short:
+            for rows, text in zip(found, texts, strict=True):
+                lines = {tuple(tokens(line)) for line in (text or "").split("\n")}
+                rows += [(i, len(line), 1, len(line)) for line in sorted(lines & self.short.keys()) for i in self.short[line]]
         if not len(self.seeds):
             return found
         get = self.words.get
@@ -178,13 +203,14 @@ class Index:
         return np.searchsorted(self.seeds, self._seeds(np.array(self.items[item], dtype=np.int64)))
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = BLOCK) -> list[list[tuple[object, str]]]:
-    """The items in blocks of about ``size`` characters at most; the table's size is measured first."""
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = BLOCK) -> Iterator[list[tuple[object, str]]]:
+    """The items in blocks of about ``size`` characters at most, one at a time; the table's size is measured first."""
     items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).filter(F.length("t") > 0)
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     parts = -(-total // size)
-    rows = [items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k) if parts > 1 else items for k in range(parts)]
-    return [[(r["i"], r["t"]) for r in part.orderBy("i", "t").collect()] for part in rows]
+    for k in range(parts):
+        part = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k) if parts > 1 else items
+        yield [(r["i"], r["t"]) for r in part.orderBy("i", "t").collect()]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", coverage: float = COVERAGE, size: int = BLOCK) -> DataFrame:

@@ -103,3 +103,28 @@ def test_long_documents(sf):
     index = D.Index(items)
     got = {(docs[k][0], index.ids[i], n) for k, leaks in enumerate(index.leaks([t for _, t in docs])) for i, n, *_ in leaks}
     assert got == want and (-1, items[0][0]) in {g[:2] for g in got}
+
+
+def test_short_and_unspaced_items():
+    items = [(1, "Yes, no!"), (2, "今天天气很好我们去公园玩"), (3, "好"), (4, "yes")]
+    index = D.Index(items)
+    found = lambda t: [index.ids[i] for i, *_ in index.leaks([t])[0]]
+    assert found("well\nyes: No\nmore") == [1] and found("yes no more") == [] and found("yes") == [4]
+    assert found("前言：今天天气很好，我们去公园玩。") == [2] and found("今天很好") == [] and found("好") == [3]
+    assert index.leaks(["", None, "\n"]) == [[], [], []]
+
+
+def test_repetition_is_no_blow_up():
+    import time
+
+    start = time.time()
+    assert D.tiles([1] * 200, [1] * 20_000) == [(0, 0, 200)]
+    assert sum(k for *_, k in D.tiles([1, 2] * 150, [1, 2, 1] * 5_000)) <= 300
+    assert time.time() - start < 20
+
+
+def test_blocks_one_at_a_time(spark):
+    table = spark.createDataFrame([(k, f"item {k} " * 5) for k in range(50)], "item_id long, text string")
+    parts = list(D.blocks(table, size=400))
+    assert len(parts) > 3 and sorted(i for part in parts for i, _ in part) == list(range(50))
+    assert list(D.blocks(table.limit(0))) == []
