@@ -6,7 +6,9 @@ whole, and for all languages together, the minimum covariance determinant is sou
 rows are ordered by Mahalanobis distance, and the mean and covariance of the nearest
 HALF become the next estimate. A step is one aggregation over all rows: distances fall
 into fine logarithmic bins that hold counts and moments, so the rows of a group never
-meet in one task; the bin at the boundary counts in part. Two starts run side by side
+meet in one task; the bin at the boundary counts in part. Steps go on until no start's
+determinant falls any more (a start that has settled keeps its estimate; determinants
+have a floor, so all settle). Two starts run side by side
 (coordinate medians and quartile ranges; plain moments) and the one with the smaller
 determinant wins, is made consistent, and reweighted once. A diagonal floor keeps the
 covariance invertible where a statistic hardly varies.
@@ -37,8 +39,8 @@ from blockspark.session import shared_dir, ship
 #: the bounded ones (dup_lines below 1, repeats below 0.2) are small enough that each alone can pass the cut.
 VECTOR = ("log_words", "word_length", "symbols", "dup_lines", "repeats", "upper", "bars")
 FLOOR = (0.5, 0.12, 0.15, 0.06, 0.02, 0.05, 0.05)
-#: Share of a group that the estimate covers, rows a group needs, steps, and the tail of the chi-squared distribution beyond which a row is rejected.
-HALF, LEAST, STEPS, TAIL = 0.75, 100, 4, 1e-12
+#: Share of a group that the estimate covers, rows a group needs, the fall of a log determinant below which a start has settled, and the tail of the chi-squared distribution beyond which a row is rejected.
+HALF, LEAST, SETTLED, TAIL = 0.75, 100, 1e-3, 1e-12
 #: Bins for the logarithm of a squared distance.
 PER_E, LOW, HIGH = 8, -12.0, 18.0
 P = len(VECTOR)
@@ -180,7 +182,7 @@ def _levels(rows: DataFrame) -> DataFrame:
     return rows.withColumn("g", F.explode(own)).select("g.*", "x")
 
 
-def robust_estimates(rows: DataFrame, half: float = HALF, steps: int = STEPS) -> DataFrame:
+def robust_estimates(rows: DataFrame, half: float = HALF, settled: float = SETTLED) -> DataFrame:
     """ESTIMATE with one row per group: the winning start, made consistent and reweighted; n counts all its rows.
 
     rows: (g_lang, g_source, x). The estimates are small: one row for each group.
@@ -210,12 +212,22 @@ def robust_estimates(rows: DataFrame, half: float = HALF, steps: int = STEPS) ->
         w, det = packed(cov)
         return pd.DataFrame([(frame["g_lang"].iat[0], frame["g_source"].iat[0], int(frame["start"].iat[0]), float(frame["n"].sum()), mean.tolist(), w, det)], columns=["g_lang", "g_source", "start", "n", "m", "w", "logdet"])
 
-    for _ in range(steps):
+    first = True
+    while True:
         # a row meets both starts of its group: the estimates of a group are one array
         starts = held.groupBy(keys).agg(F.collect_list(F.struct("start", "m", "w")).alias("e"))
         near = salted(rows, starts, keys, how="inner").withColumn("e", F.explode("e")).select(*keys, "x", F.col("e.start").alias("start"), F.col("e.m").alias("m"), F.col("e.w").alias("w"))
         fine = near.withColumn("bin", F.floor(F.least(F.greatest(F.log(_distance()), F.lit(LOW)), F.lit(HIGH)) * PER_E).cast("int"))
-        held = fine.groupBy(*keys, "start", "bin").agg(*_moments()).groupBy(*keys, "start").applyInPandas(step, ESTIMATE).checkpoint()
+        now = fine.groupBy(*keys, "start", "bin").agg(*_moments()).groupBy(*keys, "start").applyInPandas(step, ESTIMATE)
+        if first:  # the start's own determinant is of another kind
+            held, first = now.checkpoint(), False
+            continue
+        fell = F.col("o.logdet") - F.col("e.logdet") > settled
+        both = held.alias("o").join(now.alias("e"), [*keys, "start"])
+        held = both.select(*keys, "start", fell.alias("fell"), F.when(fell, F.struct("e.n", "e.m", "e.w", "e.logdet")).otherwise(F.struct("o.n", "o.m", "o.w", "o.logdet")).alias("x")).select(*keys, "start", "fell", "x.*").checkpoint()
+        if held.filter("fell").isEmpty():
+            break
+        held = held.drop("fell")
     best = held.groupBy(keys).agg(F.min_by(F.struct("start", F.col("n").alias("rows"), "m", "w"), F.struct("logdet", "start")).alias("e")).select(*keys, "e.*")
 
     def reweigh(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -10,10 +10,14 @@ def exact(x):
     starts = []
     q = np.percentile(x, [25, 50, 75], axis=0, method="lower")
     for mean, cov in ((q[1], np.diag(np.square((q[2] - q[0]) / 1.349) + np.square(Q.FLOOR))), (x.mean(0), np.cov(x.T, bias=True) + np.diag(np.square(Q.FLOOR)))):
-        for _ in range(Q.STEPS):
+        last = np.inf
+        for _ in range(200):
             d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
             near = x[np.argsort(d, kind="stable")[: round(Q.HALF * len(x))]]
             mean, cov = near.mean(0), np.cov(near.T, bias=True) * Q.consistency(Q.HALF) + np.diag(np.square(Q.FLOOR))
+            if last - np.linalg.slogdet(cov)[1] <= 1e-9:
+                break
+            last = np.linalg.slogdet(cov)[1]
         starts.append((np.linalg.slogdet(cov)[1], mean, cov))
     _, mean, cov = min(starts, key=lambda s: s[0])
     near = x[np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean) <= Q.chi2_quantile(0.975, Q.P)]
