@@ -113,3 +113,22 @@ def picture_prompt(type: str = "type", context: str | None = None) -> Column:
 
 def encoded_image(content: str = "content") -> Column:
     return F.base64(F.col(content))
+
+
+def fitted(width: Column | str, height: Column | str, most: int = 1024) -> Column:
+    """struct(width, height) of a picture no side of which is longer than ``most``, in proportion; the backend resizes to it."""
+    w, h = (F.col(c) if isinstance(c, str) else c for c in (width, height))
+    share = F.least(F.lit(1.0), F.lit(float(most)) / F.greatest(w, h))
+    return F.struct(F.greatest(F.lit(1), F.floor(w * share)).cast("int").alias("width"), F.greatest(F.lit(1), F.floor(h * share)).cast("int").alias("height"))
+
+
+#: What tables and charts are asked for when their data are wanted rather than a description; without an answer a comment stands in.
+EXTRACTIONS = {"table": "Give the table as markdown, every row and column.", "chart": "Give the chart's title and kind, then its axes and ranges, then its data points as a markdown table."}
+
+
+def extraction(type: Column | str, answer: Column | str) -> Column:
+    """Data of a table or chart as markdown: the model's answer, or a comment that there is none; null for other pictures."""
+    t, a = (F.col(c) if isinstance(c, str) else c for c in (type, answer))
+    missing = F.concat(F.lit("<!-- "), F.lower(t), F.lit(" data not extracted -->"))
+    chart = F.when(F.lower(t) == "chart", F.concat(F.lit("**[Chart]**\n"), a)).otherwise(a)
+    return F.when(F.lower(t).isin(*EXTRACTIONS), F.coalesce(F.when(a != "", chart), missing))

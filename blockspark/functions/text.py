@@ -165,6 +165,11 @@ def doc_id(file: Column | str = "content") -> Column:
     return sha(file, 16)
 
 
+def doc_id_of_pages(first_page: Column | str, seen: Column | str) -> Column:
+    """The id of a document that came without its file: of its first page's picture, or of the time where it has no page."""
+    return F.coalesce(sha(first_page, 16), sha(col(seen).cast("string"), 16))
+
+
 def content_hash(c: Column | str = "text") -> Column:
     return sha(c, 12)
 

@@ -42,6 +42,20 @@ def stats(entries: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     return n.join(F.broadcast(total))
 
 
+#: The caches that can be cleared one at a time.
+CACHES = ("ocr", "vlm", "layout", "docs")
+
+
+def cleared(events: DataFrame, kind: str | None = None) -> DataFrame:
+    """The log of all caches (with a column ``cache``) after one kind, or all, was cleared; a kind that is none clears nothing."""
+    return events.filter(F.lit(False)) if kind is None else events.filter(~F.coalesce(F.col("cache") == kind, F.lit(False)) | ~F.lit(kind in CACHES))
+
+
+def compacted(events: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """The log with its superseded rows gone, as a store that reclaims space leaves it: write it in place of the log."""
+    return latest(events, keys, order).select(events.columns)
+
+
 def structured(captions: DataFrame) -> DataFrame:
     """Cached captions with their JSON parsed, null where it doesn't parse."""
     return captions.withColumn("structured", F.try_parse_json(J.loose_json("structured_json")))

@@ -59,6 +59,11 @@ def listing(events: DataFrame, kind: str | None = None) -> DataFrame:
     return state.filter(F.col("kind") == kind) if kind in KINDS else state.orderBy(F.desc("date"), "kind", "hash")
 
 
+def shown(events: DataFrame, kind: str | None = None, most: int = 50) -> DataFrame:
+    """What a viewer lists: the newest entries, ``most`` of them."""
+    return listing(events, kind).orderBy(F.desc("date"), "kind", "hash").limit(most)
+
+
 def without(events: DataFrame, removed: DataFrame) -> DataFrame:
     """The registry after removals of (kind, hash)."""
     return events.join(removed.select("kind", "hash").distinct(), ["kind", "hash"], "left_anti")

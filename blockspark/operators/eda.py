@@ -232,3 +232,16 @@ def report(df: DataFrame, name: str) -> str:
     lines += ["", "## Outliers", ""] + [f"- {r['column']}: {r['outliers']:,} ({r['pct']} %)" for r in outliers(df).filter("outliers > 0").limit(10).collect()]
     lines += ["", "## High correlations", ""] + [f"- {r['col1']} and {r['col2']}: {r['r']:.3f}" for r in high_correlations(df).limit(10).collect()]
     return "\n".join(lines) + "\n"
+
+
+def insight_prompt(df: DataFrame, most: int = 2000) -> str:
+    """The request for remarks on a table: its size, gaps and, cut at ``most`` characters, its numeric summary."""
+    import json
+
+    gaps = missing(df).collect()
+    numbers = {r["column"]: {k: r[k] for k in ("mean", "std", "min", "max", "q50")} for r in describe(df).collect()}
+    rows = gaps[0]["rows"] if gaps else 0
+    return "\n".join([
+        "What stands out in this table? Name issues of data quality, of distribution, and what to look at next.", "", f"{rows} rows, {len(df.columns)} columns",
+        "Missing, in percent: " + json.dumps({r["column"]: r["missing_pct"] for r in gaps}), "Numeric columns: " + json.dumps(numbers)[:most],
+    ])

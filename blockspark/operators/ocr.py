@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from blockspark.functions import geometry as G
 from blockspark.functions import text as T
 
-#: Halvings after which a left column isn't split again.
-LEVELS = 6
 
 
 def dict_lines(results: DataFrame) -> DataFrame:
@@ -33,16 +31,23 @@ def list_lines(results: DataFrame) -> DataFrame:
     return rows.select(*keys, "line_no", F.col("l.text").alias("text"), F.coalesce("l.confidence", F.lit(0.0)).alias("confidence"), F.col("l.box").alias("box"))
 
 
-def reading_order(lines: DataFrame, keys: list[str], width: str = "width", levels: int = LEVELS) -> DataFrame:
+def halvings(rows: DataFrame, x: str, width: str) -> int:
+    """Halvings of the width until only lines at the very edge are left of it: no group splits after that."""
+    n = rows.filter((F.col(x) > 0) & (F.col(width) > F.col(x))).agg(F.max(F.ceil(F.log2(F.col(width) / F.col(x))))).first()[0]
+    return max(1, int(n or 1))
+
+
+def reading_order(lines: DataFrame, keys: list[str], width: str = "width") -> DataFrame:
     """``lines`` (with points in ``box`` and a line_no) numbered in ``nth`` by columns, bands of ten, and x.
 
     A group of more than ten lines splits at half its width if both halves have lines
     and overlap by over 0.3 of their height; only the left half can split again, as the
-    right one's places stay those of the page.
+    right one's places stay those of the page. How often is measured from the lines first.
     """
     rows = lines.withColumn("__x", G.centre("box", 0)).withColumn("__y", G.centre("box", 1))
     rows = rows.withColumn("__lo", F.array_min(F.transform("box", lambda p: F.get(p, F.lit(1))))).withColumn("__hi", F.array_max(F.transform("box", lambda p: F.get(p, F.lit(1)))))
     group = Window.partitionBy(*keys)
+    levels = halvings(rows.select("__x", F.col(width).cast("double").alias("__w")), "__x", "__w")
     rows = rows.withColumn("__right", F.lit(None).cast("int")).withColumn("__open", F.lit(True)).withColumn("__w", F.col(width).cast("double"))
     for level in range(levels):
         here = F.col("__right").isNull() & F.col("__open")

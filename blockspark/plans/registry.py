@@ -260,11 +260,6 @@ def eda_corr(spark, sf):
     return eda.correlations(X.table(spark, sf, "lineitem")).withColumn("r", F.round("r", 6))
 
 
-@query(S.correlations(0.7))
-def eda_high_corr(spark, sf):
-    return eda.high_correlations(X.table(spark, sf, "lineitem")).withColumn("r", F.round("r", 6))
-
-
 @query(f"SELECT region, line_no, nth FROM ({S.sorted_lines()})")
 def ocr_sort(spark, sf):
     return ocr.reading_order(X.boxes(spark, sf), ["region"]).select("region", "line_no", "nth")
@@ -313,11 +308,6 @@ def security_scan(spark, sf):
     return codescan.findings(X.code_files(spark, sf))
 
 
-@query()
-def code_metrics(spark, sf):
-    return codescan.metrics(X.code_files(spark, sf)).drop("long_functions")
-
-
 @query("SELECT count(*) AS total, count(*) FILTER (quality = toxic) AS correct, count(*) FILTER (quality = toxic) / count(*)::DOUBLE AS accuracy FROM labels")
 def qa_accuracy(spark, sf):
     return evaluate.accuracy(X.table(spark, sf, "labels"), "quality", "toxic")
@@ -341,8 +331,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    from blockspark.plans import more  # noqa: F401  registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)

@@ -164,7 +164,7 @@ def correlations(above: float | None = None) -> str:
 LINE_BOXES = "SELECT l_suppkey AS region, l_orderkey * 10 + l_linenumber AS line_no, (l_partkey % 600 + 5)::DOUBLE AS x, (l_orderkey % 800 + 4)::DOUBLE AS y, (l_orderkey % 800)::DOUBLE AS lo, (l_orderkey % 800 + 8)::DOUBLE AS hi, l_discount AS conf, l_returnflag AS text FROM lineitem"
 
 
-def sorted_lines(levels: int = 6) -> str:
+def sorted_lines(levels: int = 8) -> str:
     rows = f"SELECT *, NULL::INTEGER AS r, true AS o FROM ({LINE_BOXES})"
     for k in range(levels):
         mid = 600 / 2 ** (k + 1)

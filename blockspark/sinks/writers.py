@@ -46,18 +46,26 @@ def chunks_json(chunks: DataFrame) -> DataFrame:
     return chunks.select("doc_id", F.to_json(row, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def _lines(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").partitionBy("doc_id").text(path)
+def _lines(rows: DataFrame, path: str, each: bool, buckets: int) -> None:
+    if each:
+        return rows.write.mode("overwrite").partitionBy("doc_id").text(path)
+    # a document's rows stay together, in as many directories as there are buckets
+    spread = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")).repartition("bucket", F.pmod(F.xxhash64(F.lit("file"), "doc_id"), F.lit(8)))
+    spread.write.mode("overwrite").partitionBy("bucket").json(path)
 
 
-def write_all(blocks: DataFrame, docs: DataFrame, folder: str, chunks: DataFrame | None = None, with_anchors: bool = False) -> None:
-    """Markdown, blocks, metadata and, if any, chunks: a folder of each, a directory per document."""
+def write_all(blocks: DataFrame, docs: DataFrame, folder: str, chunks: DataFrame | None = None, with_anchors: bool = False, each: bool = True, buckets: int = 256) -> None:
+    """Markdown, blocks, metadata and, if any, chunks: a folder of each.
+
+    ``each``: a directory per document, for as many as a file system lists with ease;
+    otherwise rows (doc_id, value) of JSON in ``buckets`` directories by the id's hash.
+    """
     base = folder.rstrip("/")
-    _lines(render.writer_markdown(blocks, docs, with_anchors).select("doc_id", F.col("markdown").alias("value")), f"{base}/markdown")
-    _lines(blocks_json(blocks), f"{base}/blocks")
-    _lines(render.metadata_json(blocks, docs).select("doc_id", F.col("json").alias("value")), f"{base}/metadata")
+    _lines(render.writer_markdown(blocks, docs, with_anchors).select("doc_id", F.col("markdown").alias("value")), f"{base}/markdown", each, buckets)
+    _lines(blocks_json(blocks), f"{base}/blocks", each, buckets)
+    _lines(render.metadata_json(blocks, docs).select("doc_id", F.col("json").alias("value")), f"{base}/metadata", each, buckets)
     if chunks is not None:
-        _lines(chunks_json(chunks), f"{base}/chunks")
+        _lines(chunks_json(chunks), f"{base}/chunks", each, buckets)
 
 
 def append_events(events: DataFrame, path: str) -> None:

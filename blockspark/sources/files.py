@@ -58,6 +58,31 @@ def questions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("question string, answer string, options array<string>").json(path, multiLine=True)
 
 
+def readable(files: DataFrame, column: str = "content") -> DataFrame:
+    """Files with a status: ``ok``, ``empty`` where nothing was read, ``unreadable`` where a PDF's head is missing.
+
+    One bad file never ends a run: it is a row that later steps leave out.
+    """
+    head = F.substring(F.col(column), 1, 1024)
+    pdf = F.hex(head).contains("255044462D")  # %PDF-
+    n = F.coalesce(F.length(column), F.lit(0))
+    return files.withColumn("status", F.when(n == 0, "empty").when(F.endswith(F.lower("filename"), F.lit(".pdf")) & ~F.coalesce(pdf, F.lit(False)), "unreadable").otherwise("ok"))
+
+
+def json_registry(spark: SparkSession, path: str) -> DataFrame:
+    """(kind, hash, path, date, preview): a registry kept as one JSON object of kinds, hashes and entries; empty where it is missing or no JSON."""
+    from pyspark.errors import AnalysisException
+
+    schema = "kind string, hash string, path string, date string, preview string"
+    try:
+        text = spark.read.text(path, wholetext=True)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+    kinds = F.from_json("value", "map<string,map<string,struct<path:string,url:string,date:string,preview:string>>>", {"mode": "PERMISSIVE"})
+    entries = text.select(F.explode(kinds).alias("kind", "held")).select("kind", F.explode("held").alias("hash", "e"))
+    return entries.select("kind", "hash", F.coalesce("e.path", "e.url").alias("path"), "e.date", "e.preview")
+
+
 def table_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A registry or queue; empty where there is none yet or it is no table."""
     from pyspark.errors import AnalysisException
@@ -82,6 +107,10 @@ def images_large_enough(images: DataFrame, least: float = 50.0) -> DataFrame:
     return images.filter((F.col("width") >= least) & (F.col("height") >= least))
 
 
-def objects(rows: DataFrame, column: str, schema: str) -> DataFrame:
-    """Rows from JSON texts; a text that doesn't parse gives nulls, unknown keys are left out."""
+def objects(rows: DataFrame, column: str, schema: str, strict: bool = False) -> DataFrame:
+    """Rows from JSON texts; a text that doesn't parse gives nulls, unknown keys are left out, or end the job if ``strict``."""
+    if strict:
+        known = [f.name for f in rows.sparkSession.createDataFrame([], schema).schema]
+        extra = F.array_except(F.coalesce(F.json_object_keys(column), F.array().cast("array<string>")), F.array(*[F.lit(k) for k in known]))
+        rows = rows.withColumn(column, F.when(F.size(extra) > 0, F.raise_error(F.concat(F.lit("unknown keys: "), F.array_join(extra, ", ")))).otherwise(F.col(column)))
     return rows.select(F.from_json(column, schema).alias("o")).select("o.*")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from blockspark.backends import base as B
 from blockspark.config import ChunkingConfig, ProcessorConfig
 from blockspark.functions import markdown as M
+from blockspark.functions import text as T
 from blockspark.operators import cache, chunk, codescan, dedup, eda, evaluate, ocr, pages, parse, render, translate
 from blockspark.plans.fixtures import CODE
 from blockspark.sinks import writers
@@ -338,3 +339,80 @@ def test_runs(spark):
     assert (out.path, out.content) == ("in_translated/x.md", "# H\neins")
     assert runs.language_of(texts).first().target == "ko"
     assert [r.path for r in runs.reviewed(texts).collect()] == [r.path for r in texts.orderBy('path').collect()]
+
+
+def test_long_documents_chunk_in_linear_time(spark):
+    import time
+
+    from blockspark.config import ChunkingConfig
+
+    n = 50_000
+    text = "\n".join("" if k % 9 == 8 else f"line {k} of a very long document" for k in range(n))
+    start = time.time()
+    blocks = chunk.lines_as_blocks(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    runs_ = chunk.chunk_runs(blocks, ChunkingConfig()).orderBy("k").collect()
+    assert runs_[0].s == 0 and runs_[-1].e == n - 1 and all(a.e >= b.s - 1 and a.s < b.s for a, b in zip(runs_, runs_[1:], strict=False))
+    old = chunk.legacy_chunks(spark.createDataFrame([("a", text)], "doc_id string, markdown string"), chunk_size=50).orderBy("k").collect()
+    assert "\n".join(r.content for r in old) == text and len(old) > 1000
+    assert time.time() - start < 60
+
+
+def test_order_statistics_and_correlations_match_numpy(spark):
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    x = np.concatenate([r.normal(size=500) * 1e6, [0.0, -0.0, np.inf, -np.inf, 5e-324, -5e-324], np.repeat(7.25, 300)])
+    y = np.where(r.random(len(x)) < 0.1, np.nan, np.where(np.isfinite(x), x, 0) * 2 + r.normal(size=len(x)))
+    df = spark.createDataFrame([(float(a), None if k % 11 == 0 else float(b), 4.0, None) for k, (a, b) in enumerate(zip(x, y, strict=True))], "x double, y double, c double, gone int").repartition(5)
+    ys = np.array([b for k, b in enumerate(y) if k % 11 and not np.isnan(b)])
+    got = eda.quantiles(df, ["x", "y", "c", "gone"], (0.0, 0.1, 0.25, 0.5, 0.9, 1.0))
+    assert np.allclose(got[1], np.percentile(ys, [0, 10, 25, 50, 90, 100]), rtol=0, atol=1e-6)
+    assert got[0][0] == -np.inf and got[0][-1] == np.inf and got[0][3] == np.sort(x)[len(x) // 2 - 1 : len(x) // 2 + 1].mean()
+    assert got[2] == [4.0] * 6 and got[3] == [None] * 6
+    assert eda.quantiles(df.limit(0), ["x"]) == [[None] * 3]
+    fine = df.filter("abs(x) < 1e300")
+    r_ = {(p.col1, p.col2): p.r for p in eda.correlations(fine).collect()}
+    both = [(a, b) for k, (a, b) in enumerate(zip(x, y, strict=True)) if k % 11 and not np.isnan(b) and np.isfinite(a)]
+    assert abs(r_["x", "y"] - np.corrcoef(np.array(both).T)[0, 1]) < 1e-9
+    assert r_["x", "c"] is None and r_["x", "gone"] is None and len(r_) == 6
+    assert [p.r for p in eda.correlations(fine.limit(0)).collect()] == [None] * 6
+    assert eda.describe(df.limit(0)).count() == 4 and eda.outliers(df.limit(0)).count() == 4
+
+
+def test_parser_errors_of_any_kind(spark):
+    rows = [("deep", "(" * 50_000), ("nul", "a\0b"), ("fine", "x = 1"), ("none", None)]
+    got = {r.path: r.syntax_error for r in codescan.metrics(spark.createDataFrame(rows, "path string, content string")).collect()}
+    assert got == {"deep": True, "nul": True, "fine": False, "none": False}
+    assert codescan.structure(spark.createDataFrame(rows, "path string, content string")).count() == 4
+
+
+def test_similarity_same_as_difflib(spark):
+    import difflib
+
+    rows = [("abcd", "bcde"), ("", "x"), (None, None), ("the quick fox", "a quick dog")]
+    for r in spark.createDataFrame(rows, "a string, b string").select("a", "b", T.similarity("a", "b").alias("s")).collect():
+        assert abs(r.s.ratio - difflib.SequenceMatcher(None, r.a or "", r.b or "").ratio()) < 1e-12
+
+
+def test_unreadable_files_and_strict_objects(spark):
+    from blockspark.sources import files
+
+    rows = spark.createDataFrame([("a.pdf", b"%PDF-1.4"), ("b.PDF", b"junk"), ("c.pdf", b""), ("d.pdf", None), ("e.txt", b"x")], "filename string, content binary")
+    assert {r.filename: r.status for r in files.readable(rows).collect()} == {"a.pdf": "ok", "b.PDF": "unreadable", "c.pdf": "empty", "d.pdf": "empty", "e.txt": "ok"}
+    said = spark.createDataFrame([('{"a": 1}',), ("broken",)], "v string")
+    assert [r.a for r in files.objects(said, "v", "a int").collect()] == [1, None]
+    with pytest.raises(Exception, match="unknown keys"):
+        files.objects(spark.createDataFrame([('{"a": 1, "z": 2}',)], "v string"), "v", "a int", strict=True).collect()
+
+
+def test_region_crops(spark):
+    from blockspark.operators import layout
+
+    rows = spark.createDataFrame([("d", 1, 1, "Table", [-5.0, 2.0, 900.0, 50.0]), ("d", 1, 2, "Figure", [10.0, 10.0, 10.0, 40.0]), ("d", 1, 3, "Chart", None)], "doc_id string, page int, region int, label string, bbox array<double>")
+    got = layout.crops(rows, F.lit(600), F.lit(800)).collect()
+    assert [(r.region, r.bbox) for r in got] == [(1, [0, 2, 600, 50])] and got[0].crop.startswith("table_p1_")
+
+
+def test_insight_prompt(spark):
+    said = eda.insight_prompt(spark.createDataFrame([(1.0, "a"), (3.0, None)], "x double, t string"))
+    assert "2 rows, 2 columns" in said and '"mean": 2.0' in said and '"t": 50.0' in said
