@@ -26,14 +26,23 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only where the setting is absent (tests, a local session) a folder of this
-    machine is made and set, so that checkpoints have a place.
+    Only where the setting is absent and all runs on this machine (tests, a local
+    session) a folder of this machine is made and set; a cluster must name one.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
         held = sc._jsc.sc().getCheckpointDir()
+        if not held.isDefined() and not (sc.master or "").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = held.get() if held.isDefined() else "file://" + tempfile.mkdtemp(prefix="blockspark-")
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(named)
     return named
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of intermediate results that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
