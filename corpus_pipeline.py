@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns what it keeps of ``docs``; its result
 is written as Parquet to the folder all executors share and read again as the next
 one's ``docs``. All but the last return the columns of ``documents``.
+
+Null and empty texts are documents like any other: the classifier scores them, and those
+it keeps have fingerprint zero and are near duplicates of each other. Texts of any length
+are taken whole. Rows without an id stay, as no group of near duplicates can be named by
+them; repeated rows of one id and text become one row, unlike texts of one id are told
+apart, ties going to the least hash of the text. Columns beyond those of ``documents``
+pass through all stages but the last, whatever their names. An empty table gives an empty
+result. What a stage wrote is removed as soon as the next one has written its own.
 """
 
 from __future__ import annotations
@@ -14,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blockspark.llm import decontamination, pieces, quality_classifier, secrets, simhash
 from blockspark.llm.common import table
-from blockspark.session import shared_dir
+from blockspark.session import discard, shared_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,4 +71,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            if k:
+                discard(spark, f"{folder}/{k - 1}")
     return docs
