@@ -5,7 +5,10 @@ A fingerprint has a bit set where over half of the text's shingle hashes have it
 agree on at least three blocks, so a join on every choice of three blocks (about 32
 bits each) finds all of them. A pair is kept only at the first choice it agrees on, so
 nothing has to be made distinct afterwards. Equal fingerprints are one class before
-the join, so copies are never paired with each other.
+the join, so copies are never paired with each other. Where more than HOT fingerprints
+share a key, as in a large family of near copies, the rest of their bits is split the
+same way: six interleaved blocks, a join on every choice of three of them, so that not
+all of them are compared.
 
 Null and empty texts, and those of white space only, have fingerprint zero and are
 linked like any other. Texts are taken whole. A row without an id counts as a
@@ -28,6 +31,8 @@ from blockspark.session import shared_dir
 
 #: Bits that may differ, and the widths of the blocks.
 DISTANCE, WIDTHS = 3, (11, 11, 11, 11, 10, 10)
+#: Fingerprints of one key that are compared without a further split.
+HOT = 128
 
 
 def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> bytes:
@@ -64,20 +69,40 @@ def masks() -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in found]
 
 
-def links(classes: DataFrame) -> DataFrame:
+def finer_masks() -> list[int]:
+    """The same for blocks of every sixth bit, which cut across the others."""
+    blocks = [sum(1 << b for b in range(k, 64, len(WIDTHS))) for k in range(len(WIDTHS))]
+    found = [sum(c) for c in combinations(blocks, len(WIDTHS) - DISTANCE)]
+    return [m - (1 << 64) if m >> 63 else m for m in found]
+
+
+def _first(apart: Column, choices: list[int]) -> Column:
+    """The first choice of blocks in which no bit differs."""
+    first: Column = F.lit(len(choices))
+    for i, m in reversed(list(enumerate(choices))):
+        first = F.when(apart.bitwiseAND(F.lit(m)) == 0, F.lit(i)).otherwise(first)
+    return first
+
+
+def links(classes: DataFrame, hot: int | None = None) -> DataFrame:
     """Pairs a < b of unlike fingerprints within the distance, with the size of each class.
 
     classes: (fp, n), each fingerprint once.
     """
-    choices = masks()
-    key = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("i"), F.col("fp").bitwiseAND(F.lit(m)).alias("v")) for i, m in enumerate(choices)])
-    rows = classes.select("fp", "n", F.explode(key).alias("k")).select("fp", "n", "k.i", "k.v")
-    a, b = rows.select(F.col("fp").alias("a"), F.col("n").alias("na"), "i", "v"), rows.select(F.col("fp").alias("b"), F.col("n").alias("nb"), "i", "v")
+    from pyspark.sql import Window
+
+    hot = HOT if hot is None else hot
+    choices, finer = masks(), finer_masks()
+    keys = lambda some, i, v: F.array(*[F.struct(F.lit(k).cast("tinyint").alias(i), F.col("fp").bitwiseAND(F.lit(m)).alias(v)) for k, m in enumerate(some)])
+    rows = classes.select("fp", "n", F.explode(keys(choices, "i", "v")).alias("k")).select("fp", "n", "k.i", "k.v")
+    rows = rows.withColumn("many", F.count("*").over(Window.partitionBy("i", "v")) > hot)
+    whole = F.array(F.struct(F.lit(-1).cast("tinyint").alias("j"), F.lit(0).cast("long").alias("w")))
+    rows = rows.select("fp", "n", "i", "v", F.explode(F.when(F.col("many"), keys(finer, "j", "w")).otherwise(whole)).alias("k")).select("fp", "n", "i", "v", "k.j", "k.w")
+    a, b = (rows.select(F.col("fp").alias(x), F.col("n").alias(f"n{x}"), "i", "v", "j", "w") for x in "ab")
     apart = F.col("a").bitwiseXOR(F.col("b"))
-    first: Column = F.lit(len(choices))
-    for i, m in reversed(list(enumerate(choices))):
-        first = F.when(apart.bitwiseAND(F.lit(m)) == 0, F.lit(i)).otherwise(first)
-    return a.join(b, (a["i"] == b["i"]) & (a["v"] == b["v"]) & (F.col("a") < F.col("b")) & (F.bit_count(apart) <= DISTANCE) & (first == a["i"])).select("a", "na", "b", "nb")
+    same = (a["i"] == b["i"]) & (a["v"] == b["v"]) & (a["j"] == b["j"]) & (a["w"] == b["w"])
+    once = (_first(apart, choices) == a["i"]) & ((a["j"] < 0) | (_first(apart, finer) == a["j"]))
+    return a.join(b, same & (F.col("a") < F.col("b")) & (F.bit_count(apart) <= DISTANCE) & once).select("a", "na", "b", "nb")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -57,6 +57,7 @@ def test_links_and_components(spark):
     got = {(r.a, r.b) for r in S.links(classes).collect()}
     sign = lambda f: f - (1 << 64) if f >> 63 else f
     distinct = sorted(map(sign, set(fps)))
+    assert got == {(r.a, r.b) for r in S.links(classes, hot=2).collect()} and S.links(classes, hot=2).count() == len(got)
     assert got == {(a, b) for a in distinct for b in distinct if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
     import pytest
 
@@ -94,3 +95,14 @@ def test_keep_one_tells_texts_of_one_id_apart(spark):
         got = S.keep_one(df)
         assert got.columns == df.columns
         assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, a, 7), (5, b, 9), (None, a, 1)], key=repr)
+
+
+def test_large_family_shares_keys(spark):
+    r = random.Random(8)
+    base = r.getrandbits(64)
+    family = {base ^ sum(1 << b for b in r.sample(range(40), r.randint(0, 5))) for _ in range(600)}
+    sign = lambda f: f - (1 << 64) if f >> 63 else f
+    classes = spark.createDataFrame([(sign(f), 1) for f in family], "fp long, n long")
+    want = {tuple(sorted((sign(x), sign(y)))) for x in family for y in family if x < y and (x ^ y).bit_count() <= 3}
+    found = [(x.a, x.b) for x in S.links(classes, hot=50).collect()]
+    assert len(found) == len(set(found)) and set(found) == want
