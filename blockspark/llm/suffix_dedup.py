@@ -10,6 +10,7 @@ windows are equal exactly if their anchors agree far enough to the right and lef
 1. Anchors go by their gram's hash to tasks, with a hash of all the bytes their windows
    cover. Runs that repeat within a task's input are decided before they are sent, so a
    passage in a third of all documents is sent once per task, not once per document.
+   The tasks are as many as the corpus's bytes ask for.
 2. There a run equal to an earlier one is a repeat as a whole. Only the first of each
    distinct run is left, and only those with an anchor in common with another need
    their bytes compared.
@@ -42,6 +43,8 @@ from blockspark.session import ship
 LENGTH, GRAM = 100, 32
 #: Bytes that the word-wise refinement compares before blind tries take over: rightwards beyond the gram, and leftwards.
 SHALLOW = 16
+#: Bytes of text whose anchors, some 38 bytes in every 34, one task of the second stage is meant to hold.
+HELD = 1 << 27
 #: Window starts in a segment, and anchors that a task gathers before it sends them.
 SEGMENT, GATHERED = 1 << 20, 1 << 20
 LAST = (1 << 63) - 1
@@ -492,7 +495,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """A row per row: id, n_bytes, spans (start and end in bytes of what is removed), kept_sha256 of the rest."""
     spark = docs.sparkSession
     ship(spark)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not parts:  # by what the corpus holds, so that no task's share grows with it
+        total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // HELD))
     picked = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("text"))
     entries = _send(picked, parts, length, gram).repartitionById(parts, F.col("bucket")).mapInArrow(_decide, "doc long, key long, entries binary")
     entries = entries.groupBy("doc", "key").agg(F.collect_list("entries").alias("entries"))
