@@ -212,22 +212,24 @@ def robust_estimates(rows: DataFrame, half: float = HALF, settled: float = SETTL
         w, det = packed(cov)
         return pd.DataFrame([(frame["g_lang"].iat[0], frame["g_source"].iat[0], int(frame["start"].iat[0]), float(frame["n"].sum()), mean.tolist(), w, det)], columns=["g_lang", "g_source", "start", "n", "m", "w", "logdet"])
 
-    first = True
+    moving, first = held, True
     while True:
-        # a row meets both starts of its group: the estimates of a group are one array
-        starts = held.groupBy(keys).agg(F.collect_list(F.struct("start", "m", "w")).alias("e"))
+        # a row meets the starts of its group that still move: the estimates of a group are one array
+        starts = moving.groupBy(keys).agg(F.collect_list(F.struct("start", "m", "w")).alias("e"))
         near = salted(rows, starts, keys, how="inner").withColumn("e", F.explode("e")).select(*keys, "x", F.col("e.start").alias("start"), F.col("e.m").alias("m"), F.col("e.w").alias("w"))
         fine = near.withColumn("bin", F.floor(F.least(F.greatest(F.log(_distance()), F.lit(LOW)), F.lit(HIGH)) * PER_E).cast("int"))
         now = fine.groupBy(*keys, "start", "bin").agg(*_moments()).groupBy(*keys, "start").applyInPandas(step, ESTIMATE)
-        if first:  # the start's own determinant is of another kind
-            held, first = now.checkpoint(), False
+        if first:  # a start's own determinant is of another kind
+            moving = held = now.checkpoint()
+            first = False
             continue
-        fell = F.col("o.logdet") - F.col("e.logdet") > settled
-        both = held.alias("o").join(now.alias("e"), [*keys, "start"])
-        held = both.select(*keys, "start", fell.alias("fell"), F.when(fell, F.struct("e.n", "e.m", "e.w", "e.logdet")).otherwise(F.struct("o.n", "o.m", "o.w", "o.logdet")).alias("x")).select(*keys, "start", "fell", "x.*").checkpoint()
-        if held.filter("fell").isEmpty():
+        fell = F.coalesce(F.col("o.logdet") - F.col("e.logdet") > settled, F.lit(False))
+        both = held.drop("fell").alias("o").join(now.alias("e"), [*keys, "start"], "left")
+        kept = F.when(fell, F.struct("e.n", "e.m", "e.w", "e.logdet")).otherwise(F.struct("o.n", "o.m", "o.w", "o.logdet"))
+        held = both.select(*keys, "start", fell.alias("fell"), kept.alias("x")).select(*keys, "start", "fell", "x.*").checkpoint()
+        moving = held.filter("fell")
+        if moving.isEmpty():
             break
-        held = held.drop("fell")
     best = held.groupBy(keys).agg(F.min_by(F.struct("start", F.col("n").alias("rows"), "m", "w"), F.struct("logdet", "start")).alias("e")).select(*keys, "e.*")
 
     def reweigh(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
