@@ -6,13 +6,15 @@ lowest score less UNKNOWN, spelled out in byte pieces. Forward Viterbi gives eac
 its best score from the start. Searching backwards from the end, those scores are exact
 heuristics, so A* takes segmentations off its agenda in their order.
 
-No piece goes past the mark that stands for a space, so a text's lattice is a chain of
-its words'. Words are solved once per worker, many at a time in numpy; the forward pass
-also keeps how much the second-best way into each place loses. The N best of a text
-differ from its best one in at most N - 1 words, namely those that lose least, so only
-they are searched backwards, and their lists are merged by score.
-
-Scores that stand for no rank (a billion below zero) bar a piece from the lattice.
+No piece holds a space mark behind anything but space marks, so a text's lattice is a
+chain of its words', a word being a run of marks and what follows it (with a vocabulary
+that has such pieces, a text is one word). Words are solved once per worker, many at a
+time in numpy; the forward pass also keeps how much the second-best way into each place
+loses. The N best of a text differ from its best one in at most N - 1 words, namely those
+that lose least, so only they are searched backwards, and their lists are merged by score.
+
+Pieces of white space alone weigh what the model file says, too (a billion below zero in
+this one, as they have no rank), so an unknown character weighs a little less than that.
 Null texts count as empty and have no piece; texts are taken whole and come back byte
 for byte, whatever white space or unknown characters they hold. Ids may be null or
 repeated; other columns are left alone; an empty table gives an empty result. Equal
@@ -23,6 +25,10 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import re
+from array import array
+from bisect import insort
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -36,13 +42,19 @@ from blockspark.llm.common import map_batches
 MODEL, BEST, UNKNOWN, REMEMBERED, CHARACTERS, WIDEST, LONGEST = "/opt/tokenizers/piece_bpe_32k.model", 4, 10.0, 400_000, 8_000_000, 24, 256
 #: Scores are kept to this fraction, so their sums are exact and ties are ties in whatever order they are added.
 GRAIN = 2.0**-16
-SPACE, BARRED = 0x2581, -1e8
+SPACE = 0x2581
+#: Words of a text that begins with a space, and places of a search whose ways are held.
+WORDS, HELD = re.compile(" +[^ ]*"), 4096
 #: A text's own U+2581 stands here as a code point that no piece has.
 FOREIGN = 0x110000
 _B = np.uint64(0x9E3779B97F4A7C15)
 Path = tuple[float, tuple[int, ...]]
 
 
+def _exact(score: float) -> float:
+    return int(score) if score == int(score) else score
+
+
 class Pieces:
     """A vocabulary, its lattice and the words solved so far."""
 
@@ -61,12 +73,11 @@ class Pieces:
                 self.spelled[i] = bytes([int(piece[3:5], 16)])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.spelled[i] = piece.replace("▁", " ").encode()
-                if score > BARRED and "▁" not in piece[1:]:
-                    self.scores[tuple(map(ord, piece))] = (i, score)
-        #: a bare space mark is spelled by its own piece, if there is one, at an unknown character's weight
-        bare = model.piece_to_id("▁")
-        self.space = None if model.is_unknown(bare) else bare
+                self.scores[tuple(map(ord, piece))] = (i, score)
         self.unknown = min(s for _, s in self.scores.values()) - UNKNOWN
+        #: the same by string, whole scores as integers, whose sums are exact in words of any length
+        self.named = {"".join(map(chr, piece)): (i, _exact(s)) for piece, (i, s) in self.scores.items()}
+        self.chained = not any("▁" in piece.lstrip("▁") for piece in self.named)
         self.longest = max(map(len, self.scores))
         prefixes: dict[int, tuple[int, float]] = {}
         for piece, (i, score) in self.scores.items():
@@ -88,23 +99,27 @@ class Pieces:
 
     # one lattice, step by step
 
-    def edges(self, points: list[int]) -> list[list[tuple[int, int, float]]]:
-        """For each place the ways into it: (start, piece or -1 for unknown, score), earlier starts first."""
-        found: list[list[tuple[int, int, float]]] = [[] for _ in range(len(points) + 1)]
-        for i in range(len(points)):
-            for j in range(i + 1, min(len(points), i + self.longest) + 1):
-                if (held := self.scores.get(tuple(points[i:j]))) is not None:
-                    found[j].append((i, *held))
-            if tuple(points[i : i + 1]) not in self.scores:
-                found[i + 1].append((i, -1, self.unknown))
-        for ways in found:
-            ways.sort(key=lambda w: w[0])
-        return found
-
-    def forward(self, edges: list[list[tuple[int, int, float]]]) -> list[float]:
-        best = [0.0]
-        for ways in edges[1:]:
-            best.append(max(best[i] + s for i, _, s in ways))
+    def ways(self, points: list[int]) -> Callable[[int], list[tuple[int, int, float]]]:
+        """Gives the ways into a place: (start, piece or -1 for unknown, score), earlier starts first."""
+        # no piece has a plain space
+        letters = "".join([" " if c == FOREIGN else chr(c) for c in points])
+        known, longest, unknown = self.named.get, self.longest, _exact(self.unknown)
+
+        def into(place: int) -> list[tuple[int, int, float]]:
+            found = []
+            for start in range(max(0, place - longest), place):
+                if (held := known(letters[start:place])) is not None:
+                    found.append((start, *held))
+            if not found or found[-1][0] < place - 1:
+                found.append((place - 1, -1, unknown))
+            return found
+
+        return into
+
+    def forward(self, into: Callable[[int], list[tuple[int, int, float]]], places: int) -> list[float]:
+        best: list[float] = [0]
+        for place in range(1, places + 1):
+            best.append(max([best[i] + s for i, _, s in into(place)]))
         return best
 
     def search(self, points: list[int], n: int) -> list[Path]:
@@ -113,35 +128,46 @@ class Pieces:
         Among equals the one nearest the text's start goes on, so a repetitive word, in
         which nearly all segmentations tie, costs as many steps as it has places.
         """
-        edges = self.edges(points)
-        best = self.forward(edges)
-        agenda: list[tuple[float, int, int, float, tuple]] = [(-best[-1], len(points), 0, 0.0, ())]
+        into = lru_cache(HELD)(self.ways(points))
+        best = self.forward(into, len(points))
+        agenda: list[tuple[float, int, int, float, tuple]] = [(-best[-1], len(points), 0, 0, ())]
         pushed, found = 0, []
         while agenda and len(found) < n:
-            _, place, _, behind, path = heapq.heappop(agenda)
+            _, place, _, behind, path = agenda.pop(0)
             if place == 0:
                 ids: list[int] = []
                 while path:
-                    (start, piece), path = path
+                    start, piece, path = path
                     ids += self.spell(points[start]) if piece < 0 else (piece,)
                 found.append((behind, tuple(ids)))
                 continue
-            for start, piece, score in edges[place]:
+            left = n - len(found)
+            for start, piece, score in into(place):
                 pushed += 1
-                heapq.heappush(agenda, (-(best[start] + behind + score), start, pushed, behind + score, ((start, piece), path)))
+                after = (-(best[start] + behind + score), start, pushed)
+                # what is behind the first n never comes up, as each of these ends before it
+                if len(agenda) < left or after < agenda[left - 1]:
+                    insort(agenda, (*after, behind + score, (start, piece, path)))
+                    del agenda[left:]
         return found
 
     def spell(self, point: int) -> list[int]:
         """Byte pieces of an unknown character; the space mark is a space."""
-        if point == SPACE and self.space is not None:
-            return [self.space]
         letter = " " if point == SPACE else "▁" if point == FOREIGN else chr(point)
         return [self.bytes[b] for b in letter.encode("utf-8", "surrogatepass")]
 
     @staticmethod
     def points(word: str) -> list[int]:
         """The word's code points behind a space mark."""
-        return [SPACE, *[FOREIGN if c == "▁" else ord(c) for c in word]]
+        return [SPACE, *[FOREIGN if c == "▁" else SPACE if c == " " else ord(c) for c in word]]
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text that isn't empty, each without its first space."""
+        if not self.chained:
+            return [text]
+        if text[0] == " " or "  " in text:
+            return [w[1:] for w in WORDS.findall(" " + text)]
+        return text.split(" ")
 
     # many words at once
 
@@ -165,21 +191,23 @@ class Pieces:
 
     def alone(self, word: str) -> tuple[bytes, float, float]:
         points = self.points(word)
-        edges = self.edges(points)
-        best, back = [0.0], [(0, 0)]
+        into = self.ways(points)
+        best, came, by = [0], array("q", [0]), array("i", [0])
         losses = [np.inf]
-        for ways in edges[1:]:
+        for place in range(1, len(points) + 1):
+            ways = into(place)
             totals = [best[i] + s for i, _, s in ways]
             top = max(totals)
             k = totals.index(top)
             rest = totals[:k] + totals[k + 1 :]
             best.append(top)
-            back.append(ways[k][:2])
+            came.append(ways[k][0])
+            by.append(ways[k][1])
             losses.append(top - max(rest) if rest else np.inf)
         ids: list[list[int]] = []
         place, loss = len(points), np.inf
         while place:
-            start, piece = back[place]
+            start, piece = came[place], by[place]
             loss = min(loss, losses[place])
             ids.append(self.spell(points[start]) if piece < 0 else [piece])
             place = start
@@ -192,7 +220,7 @@ class Pieces:
         points = np.zeros((n, width), np.uint32)
         points[:, 0] = SPACE
         inside = np.arange(1, width)[None, :] < lengths[:, None]
-        points[:, 1:][inside] = np.where(flat == SPACE, FOREIGN, flat)
+        points[:, 1:][inside] = np.where(flat == SPACE, FOREIGN, np.where(flat == ord(" "), SPACE, flat))
         best = np.full((n, width + 1), -np.inf)
         second = np.full((n, width + 1), -np.inf)
         best[:, 0] = 0
@@ -265,13 +293,13 @@ class Pieces:
         """Words, the ids of each, and the ``n`` best: (score, ids of the words in which it differs from the best)."""
         if not text:
             return [], [], [(0.0, {})]
-        words = text.split(" ")
+        words = self.words(text)
         held = list(map(self.solved.get, words))
         if None in held:
             self.solve(list({w for w, h in zip(words, held, strict=True) if h is None}))
             held = [self.solved.get(w) or self.alone(w) for w in words]
         total = sum([h[1] for h in held])
-        hypotheses: list[tuple[float, dict[int, tuple[int, ...]]]] = [(total, {})]
+        hypotheses: list[tuple[float, dict[int, tuple[int, ...]]]] = [(float(total), {})]
         if n > 1:
             losses = [h[2] for h in held]
             near = heapq.nsmallest(n - 1, range(len(words)), key=lambda k: (losses[k], k))
@@ -283,7 +311,7 @@ class Pieces:
             hypotheses = []
             while agenda and len(hypotheses) < n:
                 lost, ranks = heapq.heappop(agenda)
-                hypotheses.append((total - lost, {near[k]: lists[k][r][1] for k, r in enumerate(ranks) if r}))
+                hypotheses.append((float(total - lost), {near[k]: lists[k][r][1] for k, r in enumerate(ranks) if r}))
                 for k, r in enumerate(ranks):
                     after = (*ranks[:k], r + 1, *ranks[k + 1 :])
                     if r + 1 < len(lists[k]) and after not in seen:
@@ -293,7 +321,7 @@ class Pieces:
 
     def prepare(self, texts: list[str | None]) -> None:
         """Solve the new words of many texts together."""
-        new = {w for t in texts if t for w in t.split(" ")} - self.solved.keys()
+        new = {w for t in texts if t for w in self.words(t)} - self.solved.keys()
         if new:
             self.solve(list(new))
 

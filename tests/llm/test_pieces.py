@@ -100,3 +100,72 @@ def test_repetitive_words_take_linear_time():
         assert all(held.decode(P.joined(parts, c)) == word for _, c in best)
         assert not held.solved and not held.lists  # such words aren't remembered
     assert time.time() - start < 60
+
+
+def proto():
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(P.MODEL, "rb") as file:
+        model.ParseFromString(file.read())
+    return model
+
+
+def test_pieces_of_white_space_same_as_library():
+    import sentencepiece
+
+    held, model = P.Pieces(P.MODEL), proto()
+    # the library's lattice is for unigram models, so the same pieces and scores are declared one
+    model.trainer_spec.model_type = model.trainer_spec.UNIGRAM
+    library = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+    normal = [i for i in range(library.get_piece_size()) if not (library.is_byte(i) or library.is_control(i) or library.is_unknown(i))]
+    assert {tuple(map(ord, library.id_to_piece(i))) for i in normal} == set(held.scores)
+    weight = lambda i: held.unknown if library.is_byte(i) else library.get_score(i)
+    for text in ("a b", "a  b", "a    b", " x", "x ", "  the   cat  ", "x\n        return y\n\n    z", " " * 40, " " * 24 + "else:" + " " * 9 + "a"):
+        want = sorted((sum(map(weight, ids)) for ids in library.nbest_encode(text, nbest_size=4, out_type=int)), reverse=True)
+        words, parts, best = held.encode(text, 4)
+        # the library adds in single precision, so it may miss the best by a little
+        assert np.allclose([s for s, _ in best], want, rtol=1e-6) and all(s >= w for (s, _), w in zip(best, want, strict=True)), text
+        assert np.allclose([s for s, _ in held.search(whole(text), 4)], [s for s, _ in best])
+        for _, c in best:
+            assert held.decode(P.joined(parts, c)) == text
+    assert len(b"".join(held.encode("a" + " " * 17 + "b")[1])) // 4 == 3
+
+
+def test_long_runs_of_spaces_take_linear_time():
+    import time
+
+    held = P.Pieces(P.MODEL)
+    start = time.time()
+    for text in (" " * 100_000, "x" + " " * 200_001 + "y", ("    " * 30 + "z\n") * 500):
+        _, parts, best = held.encode(text, 4)
+        assert len(best) == 4 and all(held.decode(P.joined(parts, c)) == text for _, c in best)
+        assert len(b"".join(parts)) // 4 < len(text) / 10
+    assert time.time() - start < 60
+
+
+def test_runs_of_spaces_in_the_query(spark, tmp_path):
+    from blockspark.llm.queries import op4_piece_encoding
+
+    texts = ["def f():\n        return  1\n", "   ", "a  b", "a b", " " * 5000, "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in op4_piece_encoding(spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts) and all(g.round_trip for g in got.values())
+    held = P.pieces(P.MODEL)
+    for k, text in enumerate(texts[:5]):
+        assert np.allclose(got[k].best_scores, [s for s, _ in held.search(whole(text), P.BEST)])
+    # 5,001 space marks in pieces of 16 at most
+    assert [got[k].n_pieces for k in range(1, 7)] == [1, 3, 2, 313, 0, 0]
+
+
+def test_vocabulary_with_pieces_across_words(tmp_path):
+    model = proto()
+    across = next(i for i, p in enumerate(model.pieces) if p.piece == "▁of")
+    model.pieces[across].piece = "▁of▁the"
+    (tmp_path / "across.model").write_bytes(model.SerializeToString())
+    held = P.Pieces(str(tmp_path / "across.model"))
+    for text in ("of the of", "top of the of  the hill, and all of the others"):
+        words, parts, best = held.encode(text, 4)
+        assert words == [text] and across in np.frombuffer(parts[0], "<i4")
+        assert np.allclose([s for s, _ in best], [s for s, _ in held.search(whole(text), 4)])
+        assert all(held.decode(P.joined(parts, c)) == text for _, c in best)
