@@ -16,8 +16,9 @@ when whole, so repeated or lost tasks leave whole files only.
 
 Null and empty texts make one sequence of one end mark. Ids may be null or repeated.
 Texts of any length are taken whole, and long runs of white space are encoded apart, as
-the library's pattern overflows on them; other columns are left alone; an empty table makes
-no shard.
+the library's pattern overflows on them; texts without two white spaces in a row are cut by
+the pattern without its look-ahead, which gives the same ids sooner; other columns are left
+alone; an empty table makes no shard.
 """
 
 from __future__ import annotations
@@ -25,16 +26,16 @@ from __future__ import annotations
 import base64
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockspark.functions.text import LONG_SPACE, encoder_parts
+from blockspark.functions.text import _WHITE, LONG_SPACE, encoder_parts
 from blockspark.llm.common import slices
 from blockspark.session import ship
 
@@ -42,6 +43,8 @@ from blockspark.session import ship
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH, SLOTS, KEY, ROUNDS = 512, 16_384, 0x5EED, 8
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: What the look-ahead is for is a run of two white spaces or more; without it the pattern needs no backtracking.
+LOOK_AHEAD, RUN = r"|\s+(?!\S)", f"[{_WHITE}]{{2}}"
 
 
 class Encoder:
@@ -52,28 +55,38 @@ class Encoder:
 
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         #: the first id that is no token's
         self.end = max(ranks.values()) + 1
+        # ids as a buffer come with a search for end marks; none is allowed in a text, so one written there is text
+        marks = {"<|endoftext|>": self.end}
+        self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=marks)
+        self.plain = tiktoken.Encoding("plain", pat_str=PATTERN.replace(LOOK_AHEAD, ""), mergeable_ranks=ranks, special_tokens=marks)
         self.type = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
-        self.code = "H" if self.type.itemsize == 2 else "I"
         self.end_bytes = np.array([self.end], self.type).tobytes()
 
-    def ids(self, text: str) -> list[int]:
+    def tokens(self, text: str, runs: bool = True) -> np.ndarray:
+        """Ids of a text; ``runs`` is false only where no two white spaces follow each other."""
+        if not runs:
+            return self.plain.encode_to_numpy(text, disallowed_special=())
         if len(text) < LONG_SPACE:
-            return self.encoding.encode_ordinary(text)
-        out: list[int] = []
-        for one, part in encoder_parts(text, False):
-            out += self.encoding._encode_single_piece(part) if one else self.encoding.encode_ordinary(part)
-        return out
+            return self.encoding.encode_to_numpy(text, disallowed_special=())
+        return np.concatenate([np.array(self.encoding._encode_single_piece(part), np.uint32) if one else self.encoding.encode_to_numpy(part, disallowed_special=()) for one, part in encoder_parts(text, False)])
+
+    def ids(self, text: str) -> list[int]:
+        return self.tokens(text).tolist()
 
-    def count(self, text: str | None) -> int:
+    def count(self, text: str | None, runs: bool = True) -> int:
         """Ids of a text, the end mark included."""
-        return 1 + (len(self.ids(text)) if text else 0)
+        return 1 + (len(self.tokens(text, runs)) if text else 0)
 
-    def encode(self, text: str | None) -> bytes:
+    def encode(self, text: str | None, runs: bool = True) -> bytes:
         """All ids of a text and the end mark."""
-        return array(self.code, self.ids(text)).tobytes() + self.end_bytes if text else self.end_bytes
+        return self.tokens(text, runs).astype(self.type).tobytes() + self.end_bytes if text else self.end_bytes
+
+
+def texts(column: pa.Array) -> Iterator[tuple[str | None, bool]]:
+    """Each text, and whether it has two white spaces in a row."""
+    return zip(column.to_pylist(), pc.match_substring_regex(column, RUN).to_pylist(), strict=True)
 
 
 @lru_cache(maxsize=2)
@@ -120,7 +133,7 @@ def counts(docs: DataFrame, length: int = LENGTH, vocabulary: str = VOCABULARY)
         held, total = encoder(vocabulary), 0
         for batch in batches:
             for part in slices(batch, 1):
-                total += sum(-(-held.count(t) // length) for t in part.column(1).to_pylist())
+                total += sum(-(-held.count(*t) // length) for t in texts(part.column(1)))
         yield pa.RecordBatch.from_arrays([pa.array([_partition()], pa.int32()), pa.array([total], pa.int64())], names=["k", "n"])
 
     ship(docs.sparkSession)
@@ -140,8 +153,8 @@ def sequences(docs: DataFrame, number: dict[int, int], length: int = LENGTH, voc
         for batch in batches:
             for part in slices(batch, 1):
                 rows, nth, used, ids = [], [], [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    every = held.encode(text)
+                for i, text in enumerate(texts(part.column(1))):
+                    every = held.encode(*text)
                     for k, a in enumerate(range(0, len(every), wide * length)):
                         piece = every[a : a + wide * length]
                         rows.append(i)

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -79,3 +80,53 @@ def test_long_runs_of_white_space(monkeypatch):
     for _ in range(5000):
         text = "".join(r.choice([" ", " ", "\n", "\r", "\t", "a", "Ab", "1", "!", "'s", "é", "\x1c", "\u3000", "漢"]) for _ in range(r.randint(0, 14)))
         assert held.ids(text) == held.encoding.encode_ordinary(text)
+
+
+def test_both_patterns_give_the_same_ids():
+    import random
+
+    import tiktoken
+
+    held = T.encoder(T.VOCABULARY)
+    # the runs are those of the library's white space
+    library = tiktoken.Encoding("white", pat_str=r"\s", mergeable_ranks=held.encoding._mergeable_ranks, special_tokens={})
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    white = [c for c in every if library.encode_ordinary(c)]
+    assert [c for c, (_, run) in zip(every, T.texts(pa.array([2 * c for c in every])), strict=True) if run] == white
+    r = random.Random(4)
+    marks = ["a", "Ab", "1", "!", "'s", "'", "é", "漢", "\x1c", "\x00", "<|endoftext|>", "\U0001f600"]
+    spaces = [*white, " ", " ", "\n"]
+    mixed = ["".join(r.choice(marks + spaces) for _ in range(r.randint(0, 14))) for _ in range(5000)]
+    single = ["".join(r.choice(marks) * r.randint(1, 3) + r.choice(["", *spaces]) for _ in range(r.randint(0, 9))) for _ in range(5000)]
+    flagged = list(T.texts(pa.array([*mixed, *single, None, ""])))
+    assert [run for _, run in flagged].count(True) > 1000 and [run for _, run in flagged].count(False) > 1000
+    for text, run in flagged:
+        ids = held.encoding.encode_ordinary(text or "")
+        assert held.encode(text, run) == np.array([*ids, held.end], held.type).tobytes() and held.count(text, run) == len(ids) + 1
+
+
+def test_round_trip_with_and_without_runs(spark, tmp_path):
+    texts = [None, "", "a b\nc " * 400, "a  b\n\n c " * 400, "x" + " " * 12_000 + "y", "end \n", "<|endoftext|> <|endoftext|>  z"]
+    folder = f"file://{tmp_path}/shards"
+    rows = T.write_shards(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), folder, length=64, slots=10).collect()
+    ids, held = T.read_slots(folder, 0, len(rows), length=64, slots=10), T.encoder(T.VOCABULARY)
+    for d, text in enumerate(texts):
+        every = [t for r in sorted((r for r in rows if r.doc_id == d), key=lambda r: r.part) for t in ids[r.slot][: r.n_tokens].tolist()]
+        assert every == [*held.encoding.encode_ordinary(text or ""), held.end]
+
+
+def test_cheaper_than_the_pattern_with_its_look_ahead(spark, sf):
+    import time
+    from array import array
+
+    held = T.encoder(T.VOCABULARY)
+    column = pa.array([r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect() if r.text and "  " not in r.text])
+    lists = lambda: [array("H", [*held.encoding.encode_ordinary(t), held.end]).tobytes() for t in column.to_pylist()]
+    ours = lambda: [held.encode(*t) for t in T.texts(column)]
+    seconds = {lists: [], ours: []}
+    for _ in range(5):
+        for made in seconds:
+            start = time.process_time()
+            made()
+            seconds[made].append(time.process_time() - start)
+    assert lists() == ours() and min(seconds[ours]) < 0.85 * min(seconds[lists])
