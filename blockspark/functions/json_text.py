@@ -24,10 +24,15 @@ def elements_json(c: Column | str) -> Column:
     Braces are counted without regard to strings, as one fold over the pieces between
     closing braces.
     """
-    text = F.coalesce(col(c), F.lit(""))
-    span = F.nullif(F.regexp_extract(text, r'(?s)\{.*"page_elements".*\}', 0), F.lit(""))
-    whole = bind(span, lambda x: F.when(parses(x) & F.array_contains(F.json_object_keys(x), "page_elements"), x))
-    return F.coalesce(whole, F.get(F.filter(balanced(text), parses), F.lit(0)), F.lit(""))
+    whole = lambda x: F.when(F.contains(x, F.lit('"page_elements"')) & parses(x) & F.array_contains(F.json_object_keys(x), "page_elements"), x)
+    found = lambda text: F.coalesce(bind(_span(text), whole), F.get(F.filter(balanced(text), parses), F.lit(0)), F.lit(""))
+    return bind(F.coalesce(col(c), F.lit("")), found)
+
+
+def _span(text: Column) -> Column:
+    """From the first opening to the last closing brace; null or '' if there is none."""
+    start = F.instr(text, "{")
+    return F.when(start > 0, F.substr(text, start, F.length(text) - F.length(F.substring_index(text, "}", -1)) - start + 1))
 
 
 def balanced(text: Column) -> Column:

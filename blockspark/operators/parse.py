@@ -17,7 +17,8 @@ def element_blocks(responses: DataFrame) -> DataFrame:
     A missing type is a paragraph, an unknown one text; null metadata counts as empty.
     """
     parsed = responses.withColumn("e", F.from_json(J.elements_json("response"), ELEMENTS)["page_elements"])
-    rows = parsed.select("doc_id", "page", F.posexplode("e").alias("reading_order", "e"))
+    # an inner explode would bring a filter on its input's size, which makes and parses each answer once more
+    rows = parsed.select("doc_id", "page", F.posexplode_outer("e").alias("reading_order", "e")).filter("reading_order IS NOT NULL")
     types = F.create_map(*[F.lit(x) for pair in ELEMENT_TYPES.items() for x in pair])
     kind = F.coalesce(F.col("e.type"), F.lit("paragraph"))
     said = F.coalesce(F.col("e.content"), F.lit(""))
@@ -58,6 +59,21 @@ def doc_titles(blocks: DataFrame) -> DataFrame:
     return pages.filter("title <> ''").groupBy("doc_id").agg(F.min_by("title", "page").alias("title"))
 
 
+def heading() -> Column:
+    """What ``first_title`` takes of a block: null if it can't give the title."""
+    return F.when((F.col("type") == "title") & (T.first_full("text") != ""), F.struct("page", F.coalesce("reading_order", F.lit(999)).alias("o"), "pos", T.strip("text").alias("title")))
+
+
+def first_title(headings: Column | str) -> Column:
+    """The title of doc_titles as one aggregate of a document's blocks, beside others; it holds all headings of a document."""
+
+    def first(rows: Column) -> Column:
+        tops = F.filter(rows, lambda r, i: r["page"].isNotNull() & ~F.get(rows, i - 1)["page"].eqNullSafe(r["page"]) & (r["title"] != ""))
+        return F.get(tops, F.lit(0))["title"]
+
+    return T.bind(F.sort_array(F.collect_list(headings)), first)
+
+
 def fallback_blocks(pages: DataFrame, blocks: DataFrame, read: DataFrame) -> DataFrame:
     """A single text block for each page without one, from (doc_id, page, text, confidence) of a whole-page reading."""
     bare = pages.select("doc_id", F.col("page_num").alias("page"), "width", "height").join(blocks.select("doc_id", "page").distinct(), ["doc_id", "page"], "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockspark.functions import markdown as M
@@ -14,17 +14,27 @@ def writer_markdown(blocks: DataFrame, docs: DataFrame, with_anchors: bool = Fal
 
     docs: (doc_id, title, total_pages, created_at, parser_version). Empty blocks are left out.
     """
-    order = Window.partitionBy("doc_id").orderBy("page", F.coalesce("reading_order", F.lit(999)), "pos")
-    rows = blocks.withColumn("md", M.block(with_anchors)).withColumn("nth", F.row_number().over(order)).withColumn("was", F.lag("page").over(order))
-    rows = rows.join(docs.select("doc_id", "total_pages"), "doc_id")
-    mark = F.when((F.col("total_pages") > 1) & (F.col("was") != F.col("page")), M.plus("\n---\n<!-- Page ", F.col("page"), " -->\n\n"))
-    part = F.concat(F.coalesce(mark, F.lit("")), F.when(F.col("md") != "", M.plus(F.col("md"), "\n\n")).otherwise(""))
-    bodies = rows.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", part.alias("p")))), lambda r: r["p"]), "").alias("body"))
-    whole = docs.join(bodies, "doc_id", "left")
-    title = F.when(T.first_full("title") != "", M.plus("# ", F.col("title"), "\n\n"))
-    text = M.plus(title, F.col("body"), M.footer() if with_anchors else "")
+    return written(docs.join(_collected(blocks, writer_row(with_anchors)), "doc_id", "left"), with_anchors)
+
+
+def writer_row(with_anchors: bool = False) -> Column:
+    """What ``written`` takes of a block."""
+    return _row(M.block(with_anchors))
+
+
+def written(docs: DataFrame, with_anchors: bool = False) -> DataFrame:
+    """(doc_id, markdown) of writer_markdown's docs with ``rows``, their blocks' writer_row in order."""
+
+    def body(rows: Column) -> Column:
+        def part(r: Column, i: Column) -> Column:
+            mark = F.when((F.col("total_pages") > 1) & (F.get(rows, i - 1)["page"] != r["page"]), M.plus("\n---\n<!-- Page ", r["page"], " -->\n\n"))
+            return F.concat(F.coalesce(mark, F.lit("")), F.when(r["p"] != "", M.plus(r["p"], "\n\n")).otherwise(""))
+
+        return F.array_join(F.transform(rows, part), "")
+
+    text = M.plus(_title(), T.bind(F.col("rows"), body), M.footer() if with_anchors else "")
     # lines are joined, so the last line feed goes unless a footer follows
-    return whole.select("doc_id", (text if with_anchors else F.regexp_replace(text, r"\n\z", "")).alias("markdown"))
+    return docs.select("doc_id", (text if with_anchors else F.regexp_replace(text, r"\n\z", "")).alias("markdown"))
 
 
 def export_markdown(blocks: DataFrame, docs: DataFrame, with_anchors: bool = False) -> DataFrame:
@@ -41,6 +51,24 @@ def export_markdown(blocks: DataFrame, docs: DataFrame, with_anchors: bool = Fal
     return whole.select("doc_id", (text if with_anchors else F.regexp_replace(text, r"\n\z", "")).alias("markdown"))
 
 
+def in_order(rows: Column | str = "row") -> Column:
+    """An aggregate: a document's rows by page, reading order (null as 999) and place."""
+    return F.sort_array(F.collect_list(rows))
+
+
+def _row(body: Column) -> Column:
+    return F.struct("page", F.coalesce("reading_order", F.lit(999)).alias("o"), "pos", body.alias("p"))
+
+
+def _collected(blocks: DataFrame, row: Column) -> DataFrame:
+    # the row is made below the aggregate, which would interpret it
+    return blocks.select("doc_id", row.alias("row")).groupBy("doc_id").agg(in_order().alias("rows"))
+
+
+def _title() -> Column:
+    return F.when(T.first_full("title") != "", M.plus("# ", F.col("title"), "\n\n"))
+
+
 def metadata(blocks: DataFrame) -> DataFrame:
     """(doc_id, total_blocks, total_text_chars, avg_confidence): the mean is over positive confidences, 0 if there is none."""
     return blocks.groupBy("doc_id").agg(
