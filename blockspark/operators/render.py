@@ -39,16 +39,23 @@ def written(docs: DataFrame, with_anchors: bool = False) -> DataFrame:
 
 def export_markdown(blocks: DataFrame, docs: DataFrame, with_anchors: bool = False) -> DataFrame:
     """(doc_id, markdown) of the other export: an anchor behind every block, a list as footer, no page marks."""
+    return exported(docs.join(_collected(blocks, export_row(with_anchors)), "doc_id", "left"), with_anchors)
+
+
+def export_row(with_anchors: bool = False) -> Column:
+    """What ``exported`` takes of a block."""
     body = T.first_full("markdown", "text")
     if with_anchors:
         body = F.when(T.first_full("anchor") != "", M.plus(body, " ", F.col("anchor"))).otherwise(body)
-    order = F.struct("page", F.coalesce("reading_order", F.lit(999)).alias("o"), "pos", body.alias("p"))
-    parts = F.transform(F.filter(F.array_sort(F.collect_list(order)), lambda r: r["p"] != ""), lambda r: F.concat(r["p"], F.lit("\n\n")))
-    whole = docs.join(blocks.groupBy("doc_id").agg(F.array_join(parts, "").alias("body")), "doc_id", "left")
-    title = F.when(T.first_full("title") != "", M.plus("# ", F.col("title"), "\n\n"))
+    return _row(body)
+
+
+def exported(docs: DataFrame, with_anchors: bool = False) -> DataFrame:
+    """(doc_id, markdown) of export_markdown's docs with ``rows``, their blocks' export_row in order."""
+    body = F.array_join(F.transform(F.filter("rows", lambda r: r["p"] != ""), lambda r: F.concat(r["p"], F.lit("\n\n"))), "")
     foot = M.plus("---\n\n## Document Metadata\n\n- **Document ID**: ", F.col("doc_id"), "\n- **Pages**: ", F.col("total_pages"), "\n- **Processed**: ", F.col("created_at"), "\n- **Parser Version**: ", F.col("parser_version")) if with_anchors else F.lit("")
-    text = F.concat(M.plus(title, F.col("body")), foot)
-    return whole.select("doc_id", (text if with_anchors else F.regexp_replace(text, r"\n\z", "")).alias("markdown"))
+    text = F.concat(M.plus(_title(), body), foot)
+    return docs.select("doc_id", (text if with_anchors else F.regexp_replace(text, r"\n\z", "")).alias("markdown"))
 
 
 def in_order(rows: Column | str = "row") -> Column:

@@ -20,7 +20,7 @@ def test_answers_are_parsed_once(spark, sf):
     assert [(r.doc_id, r.pos, r.text) for r in parse.element_blocks(answers).orderBy("doc_id", "pos").collect()] == [("d", 0, ""), ("d", 1, "x")]
 
 
-@pytest.mark.parametrize("name", ["render_markdown"])
+@pytest.mark.parametrize("name", ["render_markdown", "export_markdown"])
 def test_one_pass(spark, sf, name):
     found = plan(registry.queries()[name](spark, sf))
     assert found.count("FileScan parquet") == 1 and found.count("Exchange hashpartitioning") == 1
